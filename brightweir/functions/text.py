@@ -24,7 +24,8 @@ def is_blank(c: Column) -> Column:
 
 def first_filled(*columns: Column) -> Column:
     """The first value that is neither null nor empty."""
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])
+    filled = [F.nullif(c, F.lit("")) for c in columns]
+    return F.coalesce(*filled) if len(filled) > 1 else filled[0]
 
 
 def token_estimate(c: Column) -> Column:

@@ -37,15 +37,10 @@ def requests(
     text: str,
     instructions: str,
     task: str,
-    max_input_chars: int = fixed.MAX_PAGE_CHARS,
     max_chunk_chars: int = fixed.MAX_CHUNK_CHARS,
 ) -> DataFrame:
-    """One request per chunk of each document, with its estimated tokens.
-
-    A document is cut at the input limit of the service and then into chunks.
-    """
-    cut = df.withColumn(text, F.substring(text, 1, max_input_chars))
-    chunks = chunk_table(cut, text, max_chunk_chars)
+    """One request per chunk of each whole document, with its estimated tokens."""
+    chunks = chunk_table(df, text, max_chunk_chars)
     prompt = F.concat(F.lit(f"{instructions}\n\nTask: {task}\n\nSource Content:\n"), F.col("chunk"))
     return chunks.withColumn("prompt", prompt).withColumn("est_tokens", token_estimate(F.col("prompt")))
 
