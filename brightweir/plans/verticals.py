@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from brightweir import fixed_values as fixed
 from brightweir.functions.dates import epoch_or_text, iso_utc, parse_absolute, publication_time
-from brightweir.functions.html import clean_html
+from brightweir.functions.html import clean_html, json_ld_date
 from brightweir.functions.keys import record_key
+from brightweir.functions.text import first_filled
 from brightweir.functions.urls import repo_url
 from brightweir.operators.dedup import first_wins, upsert
 from brightweir.operators.enrich import with_stars
@@ -255,6 +256,54 @@ def ingest_jobs(landed: DataFrame, layouts: dict[str, list[str] | None], known:
     return _finish("jobs", resolved, rejected, added, columns)
 
 
+def extract_pages(df: DataFrame, page: str, ref: Column) -> DataFrame:
+    """Title, text and publication date of pages whose parts have been read."""
+    best = publication_time(
+        ref,
+        json_ld=json_ld_date(F.col(f"{page}.json_ld")),
+        open_graph=F.col(f"{page}.og_published_time"),
+        time_tag=F.col(f"{page}.time_tag"),
+    )
+    return df.withColumns(
+        {
+            "title": F.coalesce(first_filled(F.col(f"{page}.og_title"), F.col(f"{page}.title")), F.lit("")),
+            "text": F.col(f"{page}.text"),
+            "published_date": iso_utc(best["ts"]),
+        }
+    )
+
+
+# Flat column of each output table: where it sits in the nested record.
+FLAT_COLUMNS = {
+    "STARTUP": {
+        "source_name": "source.name", "source_url": "source.url", "entity_name": "content.entityName",
+        "employee_count": "content.data.employeeCount",
+    },
+    "PRODUCT": {
+        "source_name": "source.name", "source_url": "source.url", "startup_name": "content.startupName",
+        "pricing_model": "content.pricingModel",
+    },
+    "RESEARCH_PAPER": {
+        "title": "content.title", "authors": "content.authors", "paper_url": "content.paper_url",
+        "github_url": "content.github_url", "github_stars": "content.github_stars",
+        "published_date": "content.published_date",
+    },
+    "JOB": {
+        "source_name": "source_name", "source_url": "source_url", "company": "content.company",
+        "published_date": "content.date", "is_remote": "content.is_remote", "role_family": "content.role_family",
+    },
+    "NEWS": {
+        "source_name": "source.name", "source_url": "source.url", "title": "content.title",
+        "published_date": "content.published_date", "summary": "content.summary",
+    },
+}
+
+
+def flattened(records: DataFrame, kind: str) -> DataFrame:
+    """Nested records of a kind in the flat layout of its output table."""
+    return records.select(*[F.col(path).alias(name) for name, path in FLAT_COLUMNS[kind].items()])
+
+
 def run_vertical(ingested: Ingested, root: str) -> dict[str, int]:
     """Run an ingest once and append to the tables below ``root``.
 
