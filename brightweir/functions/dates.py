@@ -7,18 +7,20 @@ sees text of its own shape: a failing formatter costs a Java exception per row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
 from brightweir import fixed_values as fixed
-from brightweir.functions.text import strip
+from brightweir.functions.text import bind, strip
 
+_ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 _ISO = r"^\d{4}-\d{2}-\d{2}(?:[Tt ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?\s*(?:[Zz]|[+-]\d{2}:?\d{2})?$"
 _MAIL = r"(?i)^(?:[a-z]{3},?\s+)?\d{1,2}\s+[a-z]{3}\s+\d{4}\s+\d{1,2}:\d{2}(?::\d{2})?(?:\s*(?:[+-]\d{4}|[a-z]{1,3}))?$"
 _MAIL_PARTS = r"(?i)^(?:[a-z]{3},?\s+)?(\d{1,2})\s+([a-z]{3})\s+(\d{4})\s+(\d{1,2}:\d{2})(:\d{2})?\s*([+-]\d{4}|[a-z]*)$"
-_LONG_MONTH = r"(?i)^[a-z]{3,9}\.?\s+\d{1,2},\s*\d{4}$"
+_SHORT_MONTH = r"(?i)^[a-z]{3}\.?\s+\d{1,2},\s*\d{4}$"
+_LONG_MONTH = r"(?i)^[a-z]{4,9}\s+\d{1,2},\s*\d{4}$"
 _DAY_MONTH = r"(?i)^\d{1,2}\s+[a-z]{3}\s+\d{4}$"
 _SLASHED = r"^\d{4}/\d{2}/\d{2}$"
 _RELATIVE = r"(\d+)\s+(second|sec|minute|min|hour|hr|day|week|month|year)s?\s+ago"
@@ -30,13 +32,10 @@ def reference(moment: datetime | str) -> Column:
 
 
 def _zone_offset(zone: Column) -> Column:
-    names = F.upper(zone)
-    named = reduce(
-        lambda acc, item: acc.when(names == item[0], F.lit(item[1])),
-        fixed.ZONE_OFFSETS.items(),
-        F.when(names == "", F.lit("+0000")),
+    offsets = F.create_map(*[F.lit(x) for item in fixed.ZONE_OFFSETS.items() for x in item])
+    return F.when(zone == "", F.lit("+0000")).otherwise(
+        F.coalesce(F.try_element_at(offsets, F.upper(zone)), F.when(F.rlike(zone, F.lit(r"^[+-]\d{4}$")), zone))
     )
-    return named.when(F.rlike(zone, F.lit(r"^[+-]\d{4}$")), zone)
 
 
 def parse_absolute(c: Column) -> Column:
@@ -46,9 +45,11 @@ def parse_absolute(c: Column) -> Column:
     ``Sep 12, 2026``; ``September 12, 2026``; ``12 Sep 2026``; ``2026/09/12``.
     Without a zone the text is read as UTC.
     """
-    text = strip(c)
+    return bind(strip(c), _absolute)
+
+
+def _absolute(text: Column) -> Column:
     iso = F.regexp_replace(F.upper(text), r"\s*([+-]\d{2}):?(\d{2})$", "$1:$2")
-    iso_date_only = F.rlike(text, F.lit(r"^\d{4}-\d{2}-\d{2}$"))
     mail = F.concat_ws(
         " ",
         F.regexp_extract(text, _MAIL_PARTS, 1),
@@ -60,49 +61,45 @@ def parse_absolute(c: Column) -> Column:
         ),
         _zone_offset(F.regexp_extract(text, _MAIL_PARTS, 6)),
     )
-    worded = F.initcap(F.regexp_replace(F.regexp_replace(text, r"\.", ""), r",\s*", ", "))
+    spaced = F.initcap(F.regexp_replace(text, r"\s+", " "))
+    worded = F.regexp_replace(F.replace(spaced, F.lit("."), F.lit("")), r",\s*", ", ")
     return (
-        F.when(iso_date_only, text.try_cast("timestamp"))
+        F.when(F.rlike(text, F.lit(_ISO_DATE)), text.try_cast("timestamp"))
         .when(F.rlike(text, F.lit(_ISO)), iso.try_cast("timestamp"))
-        .when(
-            F.rlike(text, F.lit(_MAIL)),
-            F.try_to_timestamp(mail, F.lit("d MMM yyyy H:mm:ss Z")),
-        )
-        .when(
-            F.rlike(text, F.lit(_LONG_MONTH)),
-            F.coalesce(
-                F.try_to_timestamp(F.regexp_replace(worded, r"\s+", " "), F.lit("MMM d, yyyy")),
-                F.try_to_timestamp(F.regexp_replace(worded, r"\s+", " "), F.lit("MMMM d, yyyy")),
-            ),
-        )
-        .when(
-            F.rlike(text, F.lit(_DAY_MONTH)),
-            F.try_to_timestamp(F.initcap(F.regexp_replace(text, r"\s+", " ")), F.lit("d MMM yyyy")),
-        )
+        .when(F.rlike(text, F.lit(_MAIL)), F.try_to_timestamp(mail, F.lit("d MMM yyyy H:mm:ss Z")))
+        .when(F.rlike(text, F.lit(_SHORT_MONTH)), F.try_to_timestamp(worded, F.lit("MMM d, yyyy")))
+        .when(F.rlike(text, F.lit(_LONG_MONTH)), F.try_to_timestamp(worded, F.lit("MMMM d, yyyy")))
+        .when(F.rlike(text, F.lit(_DAY_MONTH)), F.try_to_timestamp(spaced, F.lit("d MMM yyyy")))
         .when(F.rlike(text, F.lit(_SLASHED)), F.try_to_timestamp(text, F.lit("yyyy/MM/dd")))
     )
 
 
 def parse_relative(c: Column, ref: Column) -> Column:
     """Timestamp of a text such as ``3 hours ago``, ``yesterday`` or ``just now``."""
-    text = F.lower(strip(c))
+    return bind(F.lower(strip(c)), lambda text: _relative(text, ref))
+
+
+def _relative(text: Column, ref: Column) -> Column:
+    units = F.create_map(*[F.lit(x) for item in fixed.UNIT_SECONDS.items() for x in item])
     amount = F.regexp_extract(text, _RELATIVE, 1).try_cast("bigint")
-    unit = F.regexp_extract(text, _RELATIVE, 2)
-    seconds = reduce(
-        lambda acc, item: acc.when(unit == item[0], F.lit(item[1])),
-        list(fixed.UNIT_SECONDS.items())[1:],
-        F.when(unit == "second", F.lit(1)),
-    ).cast("bigint")
-    age = F.try_multiply(amount, seconds)
+    seconds = F.try_element_at(units, F.regexp_extract(text, _RELATIVE, 2)).cast("bigint")
     # Nothing was published before the year one.
-    age = F.when(age < F.unix_timestamp(ref) + F.lit(62135596800), age)
+    oldest = F.unix_timestamp(ref) + F.lit(62135596800)
+    past = bind(
+        F.try_multiply(amount, seconds),
+        lambda age: F.when(age < oldest, F.timestamp_micros(F.unix_micros(ref) - age * 1000000)),
+    )
     return (
         F.when(text.contains("just now") | text.contains("moments ago"), ref)
         .when(text.contains("yesterday"), ref - F.expr("INTERVAL 1 DAY"))
-        .otherwise(F.timestamp_micros(F.unix_micros(ref) - age * 1000000))
+        .when(F.rlike(text, F.lit(_RELATIVE)), past)
     )
 
 
+def _tagger(name: str) -> Callable[[Column], Column]:
+    return lambda ts: F.when(ts.isNotNull(), F.struct(ts.alias("ts"), F.lit(name).alias("date_source")))
+
+
 def publication_time(
     ref: Column,
     feed: Column | None = None,
@@ -125,10 +122,7 @@ def publication_time(
     fallback = [("relative", relative), ("relative_raw", raw), ("relative_time_tag", time_tag)]
     candidates = [(name, parse_absolute(c)) for name, c in absolute if c is not None]
     candidates += [(name, parse_relative(c, ref)) for name, c in fallback if c is not None]
-    tagged = [
-        F.when(ts.isNotNull(), F.struct(ts.alias("ts"), F.lit(name).alias("date_source")))
-        for name, ts in candidates
-    ]
+    tagged = [bind(ts, _tagger(name)) for name, ts in candidates]
     return F.coalesce(*tagged) if len(tagged) > 1 else tagged[0]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from brightweir import fixed_values as fixed
-from brightweir.functions.text import strip
+from brightweir.functions.text import bind, strip
 
 # scheme, authority, path, query; the fragment is matched and ignored.
 _SPLIT = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//[^/?#]*)?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
@@ -48,11 +48,16 @@ def canonical_url(c: Column) -> Column:
     dropped.  Empty or null gives an empty string.
     """
     url = F.regexp_replace(strip(F.coalesce(c, F.lit(""))), "[\t\r\n]", "")
-    scheme = F.lower(F.regexp_extract(url, _SPLIT, 1))
-    host = F.lower(F.regexp_extract(url, _SPLIT, 2))
-    path = F.regexp_extract(url, _SPLIT, 3)
-    query = F.regexp_extract(url, _SPLIT, 4)
+    return bind(url, lambda u: bind(F.struct(
+        F.lower(F.regexp_extract(u, _SPLIT, 1)).alias("scheme"),
+        F.lower(F.regexp_extract(u, _SPLIT, 2)).alias("host"),
+        F.regexp_extract(u, _SPLIT, 3).alias("path"),
+        F.regexp_extract(u, _SPLIT, 4).alias("query"),
+    ), _rebuilt))
 
+
+def _rebuilt(parts: Column) -> Column:
+    scheme, host, path, query = parts["scheme"], parts["host"], parts["path"], parts["query"]
     host = (
         F.when((scheme == "http") & host.endswith(":80"), F.regexp_replace(host, ":80$", ""))
         .when((scheme == "https") & host.endswith(":443"), F.regexp_replace(host, ":443$", ""))
@@ -60,13 +65,15 @@ def canonical_url(c: Column) -> Column:
     )
     base = F.regexp_replace(F.regexp_extract(path, _SEGMENT, 1), "(?s)^(.+)/$", "$1")
     parameters = F.regexp_extract(path, _SEGMENT, 2)
-    canonical_query = F.when(query == "", F.lit("")).otherwise(_canonical_query(query))
+    kept_query = F.when(query == "", F.lit("")).otherwise(
+        bind(_canonical_query(query), lambda q: F.when(q == "", q).otherwise(F.concat(F.lit("?"), q)))
+    )
     return F.concat(
         F.when(scheme == "", F.lit("")).otherwise(F.concat(scheme, F.lit(":"))),
         F.when(host == "//", F.lit("")).otherwise(host),
         base,
         F.when(parameters == "", F.lit("")).otherwise(F.concat(F.lit(";"), parameters)),
-        F.when(canonical_query == "", F.lit("")).otherwise(F.concat(F.lit("?"), canonical_query)),
+        kept_query,
     )
 
 

@@ -1,10 +1,10 @@
-"""Joins against dimension tables, safe for hot keys and for growing tables."""
+"""Planning helpers: lookups safe for hot keys, columns computed once."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # A key that holds more than one in HOT_SHARE rows is spread over WAYS tasks.
 # At most HOT_SHARE keys can do so, which bounds what is broadcast.
@@ -14,6 +14,16 @@ WAYS = 32
 BROADCAST_ROWS = 100_000
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later steps read instead of recomputing.
+
+    A filter on a computed column is normally pushed below the projection, with
+    the whole expression copied into it.  Behind a generator it stays a column.
+    """
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.explode_outer(F.array(made)).alias("_made")).select("*", "_made.*").drop("_made")
+
+
 def small_or_shuffled(dimension: DataFrame) -> DataFrame:
     """Mark a dimension for broadcast if its counted size allows it."""
     counted = dimension.limit(BROADCAST_ROWS + 1).count()

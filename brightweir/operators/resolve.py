@@ -7,6 +7,7 @@ result is joined back to the records with hot names spread over many tasks.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ from brightweir.functions.names import (
     without_accents,
 )
 from brightweir.functions.text import is_blank, strip
-from brightweir.operators.lookup import BROADCAST_ROWS, spread_lookup
+from brightweir.operators.lookup import BROADCAST_ROWS, computed_once, spread_lookup
 
 # Canonical names up to this many are compared as one literal list; a longer
 # dictionary is matched by an equi-join on shared pieces.
@@ -86,10 +87,13 @@ def exact_matches(names: DataFrame, known: Dictionary) -> DataFrame:
     return names.join(aliases, F.col("normal") == F.col("alias_key"), "left").drop("alias_key")
 
 
-def _shape(name: Column, mode: str) -> Column:
-    # "folded" compares in lower case; "compat" keeps the capitals of display names.
+def _check_mode(mode: str) -> None:
     if mode not in ("folded", "compat"):
         raise ValueError(f"unknown matching mode {mode}")
+
+
+def _shape(name: Column, mode: str) -> Column:
+    # "folded" compares in lower case; "compat" keeps the capitals of display names.
     return sorted_tokens(F.lower(name) if mode == "folded" else name)
 
 
@@ -99,12 +103,13 @@ def _reachable(a: Column, b: Column, floor: float) -> Column:
 
 
 def _best_of_literal(names: DataFrame, known: Dictionary, mode: str, floor: float) -> DataFrame:
-    canonicals = F.array(
-        *[
-            F.struct(_shape(F.lit(name), mode).alias("shape"), F.lit(-i).alias("rank"), F.lit(name).alias("name"))
-            for i, name in enumerate(known.names)
-        ]
-    )
+    _check_mode(mode)
+    # A foldable expression: the optimizer turns it into one literal.
+    listed = [
+        {"shape": " ".join(sorted((name.lower() if mode == "folded" else name).split())), "rank": -i, "name": name}
+        for i, name in enumerate(known.names)
+    ]
+    canonicals = F.from_json(F.lit(json.dumps(listed)), "array<struct<shape:string,rank:int,name:string>>")
     tokens = F.col("tokens")
     scored = F.transform(
         F.filter(canonicals, lambda c: _reachable(tokens, c["shape"], floor)),
@@ -112,12 +117,10 @@ def _best_of_literal(names: DataFrame, known: Dictionary, mode: str, floor: floa
             sorted_similarity(tokens, c["shape"]).alias("score"), c["rank"].alias("rank"), c["name"].alias("name")
         ),
     )
-    best = F.array_max(scored)
     shaped = names.withColumn("tokens", sorted_tokens(F.col("normal")))
-    return shaped.withColumn("best", best).select(
-        "normal",
-        F.when(F.col("best.score") >= floor, F.col("best.name")).alias("best_name"),
-        F.when(F.col("best.score") >= floor, F.col("best.score")).alias("best_score"),
+    best = computed_once(shaped, best=F.array_max(scored))
+    return best.where(F.col("best.score") >= floor).select(
+        "normal", F.col("best.name").alias("best_name"), F.col("best.score").alias("best_score")
     )
 
 
@@ -129,6 +132,7 @@ def _best_of_pieces(names: DataFrame, known: Dictionary, mode: str, floor: float
     leaves at least one piece intact in every name that can reach the score,
     moved by no more than the bound.  Pieces are therefore join keys.
     """
+    _check_mode(mode)
     slack = 1.0 - floor / 100.0
     allowed = lambda a, b: F.floor(F.lit(slack + 1e-9) * (a + b)).cast("int")
 

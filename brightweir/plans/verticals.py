@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,6 +15,7 @@ from brightweir.functions.urls import repo_url
 from brightweir.operators.dedup import first_wins, upsert
 from brightweir.operators.enrich import with_stars
 from brightweir.operators.freshness import reason_code
+from brightweir.operators.lookup import computed_once
 from brightweir.operators.report import ingest_metrics, rejections
 from brightweir.operators.resolve import Dictionary, mapping_log, resolve_entities
 from brightweir.operators.validate import required
@@ -70,16 +70,9 @@ class Ingested:
         return rejections(self.judged)
 
 
-def items_of(landed: DataFrame, layouts: dict[str, list[str] | None]) -> DataFrame:
-    """Items of a landed table that mixes layouts: layout name to its sources.
-
-    Each layout reads only its own sources; the columns of a vertical agree.
-    """
-    parts = []
-    for layout, sources in layouts.items():
-        own = landed if sources is None else landed.where(F.col("source").isin(sources))
-        parts.append(parse_items(own, LAYOUTS[layout]))
-    return reduce(DataFrame.unionByName, parts)
+def items_of(landed: DataFrame, layouts: dict[str, list[str]]) -> DataFrame:
+    """Items of a landed table that may mix layouts: layout name to its sources."""
+    return parse_items(landed, {name: (LAYOUTS[name], sources) for name, sources in layouts.items()})
 
 
 def limited(df: DataFrame, limit: int | None) -> DataFrame:
@@ -87,9 +80,10 @@ def limited(df: DataFrame, limit: int | None) -> DataFrame:
     return df if limit is None else df.orderBy(*ARRIVAL).limit(limit)
 
 
-def _judge(items: DataFrame, reason: Column) -> DataFrame:
+def _judge(items: DataFrame, reason: Column, **made: Column) -> DataFrame:
+    """Add the rejection reason, and other columns that later steps read."""
     unreadable = F.when(F.col("unreadable"), F.lit(UNREADABLE))
-    return items.withColumn("reason", F.coalesce(unreadable, reason)).drop("unreadable")
+    return computed_once(items, reason=F.coalesce(unreadable, reason), **made).drop("unreadable")
 
 
 def _accepted(c: Column) -> Column:
@@ -126,7 +120,7 @@ def _finish(
 def ingest_startups(landed: DataFrame, known: Dictionary, collected_at: Column, mode: str = "folded",
                     limit: int | None = None) -> Ingested:
     """Organisation search pages."""
-    items = items_of(landed, {"organisations": None})
+    items = items_of(landed, {"organisations": [fixed.STARTUP_SOURCE]})
     judged = _judge(items, required(login=F.col("login"), url=F.col("url")))
     if limit is not None:
         judged = limited(judged.where("reason is null"), limit)
@@ -152,16 +146,11 @@ def split_model_id(model_id: Column) -> tuple[Column, Column]:
 def ingest_products(landed: DataFrame, known: Dictionary, collected_at: Column, mode: str = "folded",
                     limit: int | None = None) -> Ingested:
     """Model listings."""
-    items = items_of(landed, {"models": None})
+    items = items_of(landed, {"models": [fixed.PRODUCT_SOURCE]})
     missing = F.when(F.col("model_id").isNull(), F.lit("MISSING_ID"))
     owner, product = split_model_id(F.col("model_id"))
-    judged = _judge(items, missing).withColumns(
-        {
-            "owner": owner,
-            "product": product,
-            "url": F.concat(F.lit(fixed.MODEL_SITE_PREFIX), F.col("model_id")),
-        }
-    )
+    url = F.concat(F.lit(fixed.MODEL_SITE_PREFIX), F.col("model_id"))
+    judged = _judge(items, missing, owner=owner, product=product, url=url)
     if limit is not None:
         judged = limited(judged.where("reason is null"), limit)
     resolved, rejected = _resolved(judged, "owner", known, mode)
@@ -177,8 +166,11 @@ def ingest_products(landed: DataFrame, known: Dictionary, collected_at: Column,
 
 def ingest_papers(landed: DataFrame, repo_stats: DataFrame, collected_at: Column, limit: int | None = None) -> Ingested:
     """Daily papers with the stars of their repositories."""
-    items = items_of(landed, {"papers": None})
-    judged = _judge(items, F.when(F.col("is_empty"), F.lit(EMPTY_RECORD)))
+    items = items_of(landed, {"papers": [fixed.PAPER_SOURCE]})
+    # A date text that cannot be read is kept as it is.
+    published = F.coalesce(iso_utc(parse_absolute(F.col("published_text"))), F.col("published_text"))
+    empty = F.when(F.col("is_empty"), F.lit(EMPTY_RECORD))
+    judged = _judge(items, empty, published_date=published)
     if limit is not None:
         judged = limited(judged.where("reason is null"), limit)
     judged = judged.withColumn("github_url", _accepted(repo_url(F.col("repo"))))
@@ -186,14 +178,11 @@ def ingest_papers(landed: DataFrame, repo_stats: DataFrame, collected_at: Column
     paper_url = F.when(F.coalesce("paper_id", F.lit("")) == "", F.lit("")).otherwise(
         F.concat(F.lit(fixed.ABSTRACT_PREFIX), F.col("paper_id"))
     )
-    # A date text that cannot be read is kept as it is.
-    published = F.coalesce(iso_utc(parse_absolute(F.col("published_text"))), F.col("published_text"))
     added = {
         "schema_version": F.lit(fixed.SCHEMA_VERSION),
         "record_type": F.lit("RESEARCH_PAPER"),
         "paper_url": paper_url,
         "github_stars": F.col("stars"),
-        "published_date": published,
         "collected_at": collected_at,
         "hash_key": _accepted(record_key("paper", F.col("title"), paper_url)),
     }
@@ -202,20 +191,20 @@ def ingest_papers(landed: DataFrame, repo_stats: DataFrame, collected_at: Column
     return _finish("research_papers", starred, None, added, columns)
 
 
-def _dated(judged: DataFrame, ts: Column, ref: Column, missing: str) -> DataFrame:
-    # Adds the time and, to rows that passed so far, the freshness verdict.
-    dated = judged.withColumn("published_ts", ts)
-    late = reason_code(F.col("published_ts"), ref, missing=missing)
-    return dated.withColumn("reason", F.coalesce("reason", late))
+def _dated(items: DataFrame, needed: Column, ts: Column, ref: Column) -> DataFrame:
+    # The freshness verdict counts only for rows that passed everything before it.
+    timed = computed_once(items, published_ts=ts)
+    late = reason_code(F.col("published_ts"), ref, missing=fixed.REASON_UNPARSEABLE)
+    return _judge(timed, F.coalesce(needed, late))
 
 
-def ingest_news(landed: DataFrame, layouts: dict[str, list[str] | None], ref: Column, collected_at: Column,
+def ingest_news(landed: DataFrame, layouts: dict[str, list[str]], ref: Column, collected_at: Column,
                 limit: int | None = None) -> Ingested:
     """Feed items no older than the freshness limit."""
     items = items_of(landed, layouts)
     needed = required(title=F.col("title"), url=F.col("url"), date=F.col("published_text"))
     ts = publication_time(ref, feed=F.col("published_text"))["ts"]
-    judged = _dated(_judge(items, needed), ts, ref, fixed.REASON_UNPARSEABLE)
+    judged = _dated(items, needed, ts, ref)
     if limit is not None:
         judged = limited(judged.where("reason is null"), limit)
     # Pages are parsed only for accepted items.
@@ -232,15 +221,15 @@ def ingest_news(landed: DataFrame, layouts: dict[str, list[str] | None], ref: Co
     return _finish("news", accepted, rejected, added, columns)
 
 
-def ingest_jobs(landed: DataFrame, layouts: dict[str, list[str] | None], known: Dictionary, ref: Column,
+def ingest_jobs(landed: DataFrame, layouts: dict[str, list[str]], known: Dictionary, ref: Column,
                 collected_at: Column, mode: str = "folded", limit: int | None = None) -> Ingested:
     """Postings of five board layouts in one canonical form."""
     items = items_of(landed, layouts)
     off_topic = F.when(~F.col("is_topical"), F.lit(NOT_TOPICAL))
     no_company = F.when(~F.col("company_optional"), required(company=F.col("company")))
     needed = F.coalesce(no_company, required(date=F.col("published_text")))
-    judged = _judge(items, F.coalesce(off_topic, needed))
-    judged = _dated(judged, epoch_or_text(F.col("published_text"), ref), ref, fixed.REASON_UNPARSEABLE)
+    ts = epoch_or_text(F.col("published_text"), ref)
+    judged = _dated(items, F.coalesce(off_topic, needed), ts, ref)
     if limit is not None:
         judged = limited(judged.where("reason is null"), limit)
     resolved, rejected = _resolved(judged, "company", known, mode)

@@ -9,6 +9,10 @@ from brightweir import fixed_values as fixed
 from brightweir.operators.dedup import read_table
 
 
+# Cells keep their white space; a quote inside a cell is doubled.
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def _as_text(name: str, kind: DataType) -> Column:
     column = F.col(f"`{name}`")
     if isinstance(kind, BooleanType):
@@ -50,9 +54,7 @@ def export_csv(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
             continue
         title = fixed.OUTPUT_TABLES[table]
         target = f"{out_dir.rstrip('/')}/{title.replace(' ', '_').lower()}.csv"
-        flat_text(df).write.mode("overwrite").option("header", True).option("escape", '"').option(
-            "emptyValue", '""'
-        ).csv(target)
+        flat_text(df).write.mode("overwrite").options(**_CSV).option("emptyValue", '""').csv(target)
         written[title] = target
     return written
 
@@ -61,6 +63,5 @@ def read_csv_mirror(spark: SparkSession, path: str, columns: list[str]) -> DataF
     """A mirrored table as text columns; multi-line cells are kept whole."""
     schema = ", ".join(f"`{c}` string" for c in columns)
     return (
-        spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
-        .option("emptyValue", "").csv(path)
+        spark.read.schema(schema).options(**_CSV).option("multiLine", True).option("emptyValue", "").csv(path)
     )

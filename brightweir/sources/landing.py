@@ -8,11 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 UNREADABLE = "UNREADABLE_PAYLOAD"
 
+# Raw columns of each vertical, the same for all layouts that feed it.
+RAW_COLUMNS = {
+    "startups": "login:string,url:string",
+    "products": "model_id:string",
+    "papers": "is_empty:boolean,paper_id:string,title:string,authors:array<string>,published_text:string,"
+    "repo:string,own_stars:int",
+    "news": "title:string,url:string,published_text:string,body:string",
+    "jobs": "company:string,url:string,published_text:string,is_remote:boolean,is_topical:boolean,"
+    "company_optional:boolean",
+}
+
 
 @dataclass(frozen=True)
 class SourceSpec:
@@ -39,20 +51,40 @@ def read_landed(spark: SparkSession, path: str, source: str) -> DataFrame:
     )
 
 
-def parse_items(landed: DataFrame, spec: SourceSpec) -> DataFrame:
-    """One row per item: ``source, page, pos`` and the raw columns of the vertical.
+def _raw_items(spec: SourceSpec) -> Column:
+    read = F.from_json if spec.format == "json" else F.from_xml
+    parsed = read("payload", spec.schema, {"mode": "PERMISSIVE"})
+    items = reduce(lambda c, field: c[field], spec.items.split("."), parsed) if spec.items else parsed
+    if spec.skip:
+        items = F.filter(items, lambda _, i: i >= spec.skip)
+
+    def raw(item: Column) -> Column:
+        return F.struct(*[c.alias(name) for name, c in spec.fields(item).items()])
+
+    return F.transform(items, raw).cast(f"array<struct<{RAW_COLUMNS[spec.vertical]}>>")
+
+
+def parse_items(landed: DataFrame, layouts: dict[str, tuple[SourceSpec, list[str]]]) -> DataFrame:
+    """One row per item: ``source, page, pos, unreadable`` and the raw columns of the vertical.
 
-    A page that cannot be read yields one row with ``unreadable`` true instead
-    of vanishing.
+    ``layouts`` maps a layout to its spec and its sources.  All layouts are read
+    in one pass over the landed table.  A page that cannot be read yields one
+    row with ``unreadable`` true instead of vanishing.
     """
-    if spec.format == "json":
-        parsed = F.from_json("payload", spec.schema, {"mode": "PERMISSIVE"})
-    else:
-        parsed = F.from_xml("payload", spec.schema, {"mode": "PERMISSIVE"})
-    pages = landed.select("source", "page", parsed.alias("_parsed"))
-    items = F.col(f"_parsed.{spec.items}") if spec.items else F.col("_parsed")
-    exploded = pages.select(
-        "source", "page", items.isNull().alias("unreadable"), F.posexplode_outer(items).alias("pos", "_item")
-    ).where((F.col("pos") >= spec.skip) | F.col("unreadable"))
-    raw = [c.alias(name) for name, c in spec.fields(F.col("_item")).items()]
-    return exploded.select("source", "page", F.coalesce("pos", F.lit(-1)).alias("pos"), "unreadable", *raw)
+    items = None
+    for spec, sources in layouts.values():
+        mine = F.col("source").isin(sources)
+        items = F.when(mine, _raw_items(spec)) if items is None else items.when(mine, _raw_items(spec))
+    known = [source for _, sources in layouts.values() for source in sources]
+    exploded = landed.where(F.col("source").isin(known)).select(
+        "source", "page", F.posexplode_outer(F.coalesce(items, _nothing(layouts))).alias("pos", "item")
+    )
+    return exploded.where("pos is not null").select(
+        "source", "page", "pos", F.col("item").isNull().alias("unreadable"), "item.*"
+    )
+
+
+def _nothing(layouts: dict[str, tuple[SourceSpec, list[str]]]) -> Column:
+    # A list of one null item: stands for a page that cannot be read.
+    vertical = next(iter(layouts.values()))[0].vertical
+    return F.array(F.lit(None)).cast(f"array<struct<{RAW_COLUMNS[vertical]}>>")

@@ -1,12 +1,6 @@
 """Payload layouts of the five verticals.
 
-Each layout maps its items to the raw columns of its vertical:
-
-* startups: ``login, url``
-* products: ``model_id``
-* papers: ``is_empty, paper_id, title, authors, published_text, repo, own_stars``
-* news: ``title, url, published_text, body``
-* jobs: ``company, url, published_text, is_remote, is_topical, company_optional``
+Each layout maps its items to the raw columns of its vertical.
 """
 
 from __future__ import annotations
