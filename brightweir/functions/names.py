@@ -9,7 +9,7 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
 from brightweir import fixed_values as fixed
-from brightweir.functions.text import squeeze
+from brightweir.functions.text import bind, squeeze
 
 _NON_ASCII = r"[^\x00-\x7F]"
 _SUFFIXES = (
@@ -69,16 +69,17 @@ def _bit(position: Column) -> Column:
 def _alignment_bits(short: Column, long: Column) -> Column:
     # Bit i of the state is cleared once i letters of the short text are aligned.
     full = _bit(F.length(short)) - F.lit(1)
-    spots = F.transform(
-        _letters(short),
-        lambda ch, i: F.struct(ch.alias("ch"), _bit(i).alias("bit")),
-    )
-    masks = F.transform(
-        _letters(long),
-        lambda ch: F.aggregate(
-            spots,
-            F.lit(0).cast("bigint"),
-            lambda acc, spot: F.when(spot["ch"] == ch, acc.bitwiseOR(spot["bit"])).otherwise(acc),
+    letters = _letters(short)
+    alphabet = F.array_distinct(letters)
+
+    def places(ch: Column) -> Column:
+        bits = F.transform(letters, lambda other, i: F.when(other == ch, _bit(i)).otherwise(F.lit(0).cast("bigint")))
+        return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, bit: acc.bitwiseOR(bit))
+
+    masks = bind(
+        F.map_from_arrays(alphabet, F.transform(alphabet, places)),
+        lambda table: F.transform(
+            _letters(long), lambda ch: F.coalesce(F.try_element_at(table, ch), F.lit(0).cast("bigint"))
         ),
     )
     state = F.aggregate(

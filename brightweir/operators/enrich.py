@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from brightweir.functions.urls import repo_key
-from brightweir.operators.lookup import spread_lookup
+from brightweir.operators.lookup import key_counts, spread_lookup
 
 
 def with_stars(
@@ -20,9 +20,11 @@ def with_stars(
     """
     needed = F.when(F.col(own_stars).isNull(), repo_key(F.col(repo)))
     keyed = df.withColumn("_repo_key", needed)
-    dimension = repo_stats.select(
+    stats = repo_stats.select(
         F.col("repo_key").alias("_repo_key"), F.col("stars").cast("bigint").alias("_looked_up")
     )
+    # Only repositories that are asked for take part.
+    dimension = key_counts(keyed, "_repo_key").join(stats, "_repo_key")
     joined = spread_lookup(keyed, dimension, "_repo_key", spread_by)
     return joined.withColumn("stars", F.coalesce(F.col(own_stars).cast("bigint"), "_looked_up")).drop(
         "_repo_key", "_looked_up"

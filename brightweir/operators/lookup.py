@@ -30,33 +30,27 @@ def small_or_shuffled(dimension: DataFrame) -> DataFrame:
     return F.broadcast(dimension) if counted <= BROADCAST_ROWS else dimension
 
 
-def spread_lookup(
-    df: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    spread_by: Sequence[str],
-    counts: DataFrame | None = None,
-) -> DataFrame:
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """How many rows each key has (``n_rows``); rows without a key are left out."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def spread_lookup(df: DataFrame, dimension: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
     """Left join on a key some values of which may hold a large share of ``df``.
 
-    ``dimension`` has one row per key.  ``counts`` (key, n_rows) says how often
-    each key occurs in ``df``; it is computed when absent.  Rows of a hot key,
-    and rows without a key, are spread by a hash of ``spread_by``; the
-    dimension rows of hot keys are repeated to match.
+    ``dimension`` has one row per key, with ``n_rows``: how often the key occurs
+    in ``df`` (see ``key_counts``).  Rows of a hot key, and rows without a key,
+    are spread by a hash of ``spread_by``; the dimension rows of hot keys are
+    repeated to match.
     """
-    if counts is None:
-        counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = counts.agg(F.sum("n_rows")).scalar()
-    hot = counts.where(F.col("n_rows") * HOT_SHARE > total).select(key, F.lit(True).alias("is_hot"))
+    total = dimension.agg(F.sum("n_rows")).scalar()
+    judged = dimension.withColumn("is_hot", F.col("n_rows") * HOT_SHARE > total)
+    hot = judged.where("is_hot").select(key, "is_hot")
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(WAYS)).cast("int")
 
     left = df.join(F.broadcast(hot), key, "left").withColumn(
         "salt", F.when(F.col("is_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0))
     )
     ways = F.when(F.col("is_hot"), F.lit(WAYS - 1)).otherwise(F.lit(0))
-    right = (
-        dimension.join(F.broadcast(hot), key, "left")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), ways)))
-        .drop("is_hot")
-    )
+    right = judged.withColumn("salt", F.explode(F.sequence(F.lit(0), ways))).drop("is_hot", "n_rows")
     return left.drop("is_hot").join(right, [key, "salt"], "left").drop("salt")

@@ -23,7 +23,7 @@ from brightweir.functions.names import (
     without_accents,
 )
 from brightweir.functions.text import is_blank, strip
-from brightweir.operators.lookup import BROADCAST_ROWS, computed_once, spread_lookup
+from brightweir.operators.lookup import BROADCAST_ROWS, computed_once, key_counts, spread_lookup
 
 # Canonical names up to this many are compared as one literal list; a longer
 # dictionary is matched by an equi-join on shared pieces.
@@ -77,8 +77,7 @@ def dictionary(
 
 def normalized_names(df: DataFrame, name: str) -> DataFrame:
     """Distinct names with how often they occur (``n_rows``) and their normal form."""
-    names = df.where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("n_rows"))
-    return names.withColumn("normal", normal_name(without_accents(strip(F.col(name)))))
+    return key_counts(df, name).withColumn("normal", normal_name(without_accents(strip(F.col(name)))))
 
 
 def exact_matches(names: DataFrame, known: Dictionary) -> DataFrame:
@@ -97,9 +96,14 @@ def _shape(name: Column, mode: str) -> Column:
     return sorted_tokens(F.lower(name) if mode == "folded" else name)
 
 
+def _shared_letters(a: Column, b: Column) -> Column:
+    return F.length(a) - F.length(F.call_function("translate", a, b, F.lit("")))
+
+
 def _reachable(a: Column, b: Column, floor: float) -> Column:
-    # Even if the shorter text is contained in the longer one.
-    return F.lit(200.0) * F.least(F.length(a), F.length(b)) >= F.lit(floor) * (F.length(a) + F.length(b))
+    # A bound on the score: the letters of either text that the other one has at all.
+    shared = F.least(_shared_letters(a, b), _shared_letters(b, a))
+    return F.lit(200.0) * shared >= F.lit(floor) * (F.length(a) + F.length(b))
 
 
 def _best_of_literal(names: DataFrame, known: Dictionary, mode: str, floor: float) -> DataFrame:
@@ -195,7 +199,9 @@ def fuzzy_matches(
     ``names`` has a column ``normal``.  The result has ``normal``, ``best_name``
     and the unrounded ``best_score``.
     """
-    distinct = names.select("normal").where("normal <> ''").distinct()
+    # Few bytes but much work per name: one task per core, whatever the size.
+    cores = names.sparkSession.sparkContext.defaultParallelism
+    distinct = names.select("normal").where("normal <> ''").repartition(cores, "normal").distinct()
     if len(known.names) <= LITERAL_CANONICALS:
         return _best_of_literal(distinct, known, mode, floor)
     return _best_of_pieces(distinct, known, mode, floor)
@@ -255,10 +261,9 @@ def resolve_entities(
     resolved = resolve_names(names, known, mode, accept, review)
     joined = spread_lookup(
         filled,
-        resolved.select("_name", "canonical_name", "method", "confidence", "review", "empty_canonical"),
+        resolved.select("_name", "n_rows", "canonical_name", "method", "confidence", "review", "empty_canonical"),
         "_name",
         spread_by,
-        counts=names.select("_name", "n_rows"),
     )
     blank = F.col("_name").isNull()
     return joined.withColumns(

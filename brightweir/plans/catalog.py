@@ -256,7 +256,9 @@ def token_sort_similarity(spark, sf_dir):
     parts = w.table(spark, sf_dir, "part")
     pairs = parts.select(
         F.lower(F.concat_ws(" ", "p_type", "p_name")).alias("a"), F.lower(F.concat_ws(" ", "p_name", "p_brand")).alias("b")
-    ).distinct()
+    )
+    # Repartitioning on the pair serves the distinct and gives every core a share of the scoring.
+    pairs = pairs.repartition(spark.sparkContext.defaultParallelism, "a", "b").distinct()
     return pairs.withColumn("score", F.round(names.token_similarity(F.col("a"), F.col("b")), 6))
 
 
