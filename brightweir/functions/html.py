@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import re
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -31,12 +32,19 @@ PAGE_SCHEMA = StructType(
 )
 
 _VOID = frozenset(fixed.VOID_ELEMENTS)
-_DROPPED = frozenset(fixed.DROPPED_ELEMENTS)
+_HIDDEN = frozenset(fixed.DROPPED_ELEMENTS + fixed.SILENT_ELEMENTS)
 _PUBLISHED = frozenset(fixed.PUBLISHED_PROPERTIES)
 _NOISE = re.compile(fixed.NOISE_CLASS, re.IGNORECASE)
 _SPACES = re.compile(r"\s+")
 
 
+def _character(code: int) -> str:
+    # Codes below 256 are read as Windows-1252 where it defines them.
+    if code < 256:
+        return bytes([code]).decode("windows-1252", errors="ignore") or chr(code)
+    return chr(code) if code < 0x110000 else "\ufffd"
+
+
 class _Open:
     """An element that is still open: its name, whether it hides text, its own text."""
 
@@ -57,7 +65,7 @@ class PageReader(HTMLParser):
     """
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
+        super().__init__(convert_charrefs=False)
         self.stack: list[_Open] = []
         self.visible: list[str] = []
         self.meta: dict[str, str | None] = {}
@@ -80,6 +88,13 @@ class PageReader(HTMLParser):
     def handle_data(self, data: str) -> None:
         self.pending.append(data)
 
+    def handle_entityref(self, name: str) -> None:
+        # A name that stands for no character is literal text.
+        self.pending.append(html5.get(name + ";", "&" + name))
+
+    def handle_charref(self, name: str) -> None:
+        self.pending.append(_character(int(name[1:], 16) if name[:1] in "xX" else int(name)))
+
     def handle_comment(self, data: str) -> None:
         self._flush()
         self._count_child()
@@ -107,7 +122,7 @@ class PageReader(HTMLParser):
         noisy = bool(classes) and (
             any(_NOISE.search(part) for part in classes.split()) or bool(_NOISE.search(classes))
         )
-        hidden = tag in _DROPPED or noisy or bool(self.stack and self.stack[-1].hidden)
+        hidden = tag in _HIDDEN or noisy or bool(self.stack and self.stack[-1].hidden)
         if tag in _VOID:
             if tag == "time" and self.first_time is None:
                 self.first_time = _Open(tag, hidden, True)

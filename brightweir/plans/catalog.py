@@ -348,12 +348,9 @@ def rule_extract(spark, sf_dir):
 
 # --- Extraction tables ----------------------------------------------------------------
 
-INSTRUCTIONS = "Answer with one JSON object of the given schema. Use null for every field the text does not state."
-
-
 @query
 def extraction_requests(spark, sf_dir):
-    requests = extraction.requests(_paragraphs(spark, sf_dir), "text", INSTRUCTIONS, "Extract the organisation.")
+    requests = extraction.requests(_paragraphs(spark, sf_dir), "text", w.INSTRUCTIONS, w.TASK)
     return requests.select("doc_id", "chunk_no", "prompt", "est_tokens")
 
 

@@ -145,6 +145,28 @@ def page_text(html: str, limit: int) -> str:
     return f"substr(trim(regexp_replace({text}, '\\s+', ' ', 'g')), 1, {limit})"
 
 
+def chunks_cte(limit: int) -> str:
+    """CTE ``chunks(doc_id, lang, source, chunk_no, chunk)``: a fold over the pieces of each document."""
+    gap = "chr(10) || chr(10)"
+    words = "list_transform(string_split(s, ' '), lambda x, i: {'s': x, 'g': 1, 'b': i = 1})"
+    marked = "regexp_replace(p, '([.?!])\\s+', '\\1' || chr(1), 'g')"
+    sentences = f"""flatten(list_transform(string_split({marked}, chr(1)), lambda s: case when length(s) <= {limit}
+        then [{{'s': s, 'g': 1, 'b': false}}] else {words} end))"""
+    pieces = f"""flatten(list_transform(list_filter(list_transform(string_split(t, {gap}), lambda x: trim(x, ' ' || chr(10))),
+        lambda x: x <> ''), lambda p: case when length(p) <= {limit} then [{{'s': p, 'g': 2, 'b': false}}] else {sentences} end))"""
+    return f"""docs as (select doc_id, lang, source, replace(text, chr(10), {gap}) as t from documents),
+    cut as (select *, {pieces} as pieces from docs where length(t) > {limit}),
+    folded as (select *, list_reduce(pieces, lambda st, x: case
+        when len(st.cur) > 0 and (x.b or st.size + length(x.s) + x.g > {limit})
+        then {{'done': list_append(st.done, case when x.g = 2 then array_to_string(st.cur, '\n\n') else array_to_string(st.cur, ' ') end), 'cur': [x.s],
+            'size': (length(x.s) + x.g)::bigint}}
+        else {{'done': st.done, 'cur': list_append(st.cur, x.s), 'size': (st.size + length(x.s) + x.g)::bigint}} end,
+        {{'done': []::varchar[], 'cur': []::varchar[], 'size': 0::bigint}}) as st from cut),
+    listed as (select doc_id, lang, source, list_append(st.done, array_to_string(st.cur, '\n\n')) as cs from folded
+        union all select doc_id, lang, source, [t] as cs from docs where length(t) <= {limit} and t <> ''),
+    chunks as (select doc_id, lang, source, unnest(range(0, len(cs)))::integer as chunk_no, unnest(cs) as chunk from listed)"""
+
+
 # --- Vertical CTEs ------------------------------------------------------------
 
 def startups_cte() -> str:
@@ -351,7 +373,7 @@ def statements() -> dict[str, str]:
     sql["html_clean_text"] = f"""select page_id, {page_text("html", 12000)} as text from pages"""
     sql["html_strip_tags"] = """select page_id, substr(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')), 1, 12000) as text from pages"""
     m = f"m as ({w.duck(w.marked_pages)})"
-    title_text = "nullif(trim(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&'), '&quot;', '\"')), '')"
+    title_text = "nullif(trim(replace(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp\\b;?', '&', 'g'), '&quot;', '\"')), '')"
     sql["html_metadata"] = f"""with {m} select page_id, {title_text} as title, 'About page ' || page_id as description,
         case when page_id % 4 = 0 then 'Story ' || page_id end as og_title,
         case page_id % 4 when 0 then {w.DUCK.time_text("e", "iso")} when 2 then 'not a date' end as og_published_time,
@@ -379,6 +401,16 @@ def statements() -> dict[str, str]:
     sql["rule_extract"] = f"""select doc_id, 'STARTUP' as record_type, '{fixed.RULE_SOURCE_NAME}' as source_name, '{fixed.RULE_SOURCE_URL}' as source_url,
         case when text = '' then 'Unknown' else trim(substr(string_split(text, chr(10))[1], 1, 50)) end as entity_name from documents"""
 
+    chunks = chunks_cte(fixed.MAX_CHUNK_CHARS)
+    limit = fixed.MAX_CHUNK_CHARS
+    sql["chunk_corpus"] = f"""with {chunks} select doc_id, chunk_no, chunk, length(chunk)::integer as n_chars,
+        length(chunk) > {limit} as over_limit from chunks"""
+    sql["chunk_stats"] = f"""with {chunks} select lang, source, count(*) as n_chunks, sum(length(chunk))::bigint as total_chars,
+        max(length(chunk))::integer as max_chars, sum((length(chunk) > {limit})::int)::bigint as n_over_limit from chunks group by lang, source"""
+    head = (w.INSTRUCTIONS + "\n\nTask: " + w.TASK + "\n\nSource Content:\n").replace("'", "''")
+    sql["extraction_requests"] = f"""with {chunks}, r as (select doc_id, chunk_no, '{head}' || chunk as prompt from chunks)
+        select doc_id, chunk_no, prompt, {est.format("prompt")}::bigint as est_tokens from r"""
+
     # Ingests
     sql["ingest_startups"] = f"with {startups_cte()} {first('startup_rows', 'seq', STARTUP_COLUMNS)}"
     sql["ingest_products"] = f"with {products_cte()} {first('product_rows', 'seq', PRODUCT_COLUMNS)}"
