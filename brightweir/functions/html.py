@@ -218,7 +218,9 @@ def page_parts(html: Column, max_chars: int = fixed.MAX_PAGE_CHARS) -> Column:
     @F.pandas_udf(PAGE_SCHEMA)
     def parts(pages: pd.Series) -> pd.DataFrame:
         rows = [read_page(page, max_chars) for page in pages]
-        return pd.DataFrame(rows, columns=PAGE_SCHEMA.fieldNames())
+        columns = {name: [row.get(name) for row in rows] for name in PAGE_SCHEMA.fieldNames()}
+        # Plain objects, also where a batch has no value at all for a field.
+        return pd.DataFrame({name: pd.Series(values, dtype=object) for name, values in columns.items()})
 
     return parts(html)
 
