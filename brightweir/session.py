@@ -49,10 +49,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     The shared folder is ``spark.checkpoint.dir``.  Only a local session, where
     driver and executors share one disk, may fall back to a temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="brightweir-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        context.setCheckpointDir(shared)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
