@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brightweir.functions.urls import canonical_url, url_key
+from brightweir.operators.lookup import small_or_shuffled
 
 
 def _order(columns: Sequence[str]) -> Column:
@@ -43,6 +44,20 @@ def new_rows(df: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
     return df.join(ledger.select(key), key, "left_anti")
 
 
+def append_new(rows: DataFrame, path: str, key: str, partition_by: Sequence[str] = ()) -> None:
+    """Append rows with distinct keys that the table does not hold yet.
+
+    The table is usually far larger than a batch.  Its keys are first reduced
+    to those of the batch, which needs no shuffle of the table while the
+    counted batch is small enough to be broadcast.
+    """
+    existing = read_table(rows.sparkSession, path)
+    if existing is not None:
+        held = existing.select(key).join(small_or_shuffled(rows.select(key)), key, "left_semi")
+        rows = new_rows(rows, held, key)
+    rows.write.mode("append").partitionBy(*partition_by).parquet(path)
+
+
 def unseen_urls(df: DataFrame, url: str, ledger: DataFrame) -> DataFrame:
     """Rows whose canonical URL has not been processed yet."""
     keyed = df.withColumn("url_hash", url_key(F.col(url)))
@@ -95,9 +110,6 @@ def upsert(df: DataFrame, path: str, key: str, order: Sequence[str], partition_b
     spark = df.sparkSession
     existing = read_table(spark, path)
     before = existing.count() if existing is not None else 0
-    rows = first_wins(df, key, order)
-    if existing is not None:
-        rows = new_rows(rows, existing, key)
-    rows.drop(*order).write.mode("append").partitionBy(*partition_by).parquet(path)
+    append_new(first_wins(df, key, order).drop(*order), path, key, partition_by)
     inserted = spark.read.parquet(path).count() - before
     return {"inserted": inserted, "duplicates": df.count() - inserted}

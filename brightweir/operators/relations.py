@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from brightweir.operators.lookup import key_counts, spread_lookup
+
 
 def vendor_edges(startups: DataFrame, products: DataFrame, jobs: DataFrame | None = None) -> DataFrame:
     """Edges ``(vendor, relation, target, weight)``.
@@ -23,7 +25,10 @@ def vendor_edges(startups: DataFrame, products: DataFrame, jobs: DataFrame | Non
             F.count(F.lit(1)).alias("weight")
         )
         edges = edges.unionByName(hired.withColumn("relation", F.lit("HIRES")))
-    return edges.join(vendors, "vendor", "left_semi").select("vendor", "relation", "target", "weight")
+    # A vendor may own a large share of all edges.
+    known = key_counts(edges, "vendor").join(vendors, "vendor").withColumn("is_vendor", F.lit(True))
+    kept = spread_lookup(edges, known, "vendor", ["relation", "target"]).where("is_vendor")
+    return kept.select("vendor", "relation", "target", "weight")
 
 
 def vendor_summary(edges: DataFrame) -> DataFrame:

@@ -38,12 +38,12 @@ def _collected() -> Column:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Use all cores for per-row Python work on inputs of few files.
+    """Use all cores for per-row Python work on inputs of few partitions.
 
-    A table of many files already has more partitions than cores and is left alone.
+    A large table already has more partitions than cores and is not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 # --- URLs --------------------------------------------------------------------
@@ -189,9 +189,7 @@ def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def entity_normalize(spark, sf_dir):
-    organisations = _organisations(spark, sf_dir)
-    normal = names.normal_name(names.without_accents(text.strip(F.col("raw_name"))))
-    return organisations.select("id", "raw_name", normal.alias("normal"))
+    return _names(spark, sf_dir)
 
 
 @query
@@ -529,13 +527,12 @@ def ingest_report_total(spark, sf_dir):
 
 @query
 def table_counts(spark, sf_dir):
-    done = {name: build(spark, sf_dir) for name, build in VERTICALS.items()}
-    tables = {name: ingested.rows for name, ingested in done.items()}
-    logs = [i.mapping_log for i in done.values() if i.mapping_log is not None]
-    merged = logs[0]
-    for log in logs[1:]:
-        merged = merged.unionByName(log)
-    return report.table_counts(tables | {"entity_mappings": merged})
+    """Row counts of the output tables after one run of every ingest."""
+    root = scratch_path(spark, "tables")
+    for build in VERTICALS.values():
+        verticals.run_vertical(build(spark, sf_dir), root)
+    tables = {name: export.read_output_table(spark, root, name) for name in fixed.OUTPUT_TABLES}
+    return report.table_counts({name: df for name, df in tables.items() if df is not None})
 
 
 @query
@@ -564,7 +561,12 @@ def export_roundtrip(spark, sf_dir):
 
 @query
 def vendor_graph_edges(spark, sf_dir):
-    return relations.vendor_edges(_startups(spark, sf_dir).rows, _products(spark, sf_dir).rows, _jobs(spark, sf_dir).rows)
+    # Relations are read from the written tables of the three ingests.
+    startups, products, jobs = (
+        verticals.staged(build(spark, sf_dir).rows, name)
+        for name, build in (("startups", _startups), ("products", _products), ("jobs", _jobs))
+    )
+    return relations.vendor_edges(startups, products, jobs)
 
 
 # --- Streams -------------------------------------------------------------------------------

@@ -352,7 +352,8 @@ def statements() -> dict[str, str]:
 
     # Names
     o = f"orgs as ({orgs})"
-    sql["entity_normalize"] = f"""with {o} select id, raw_name, {normal("raw_name")} as normal from orgs"""
+    sql["entity_normalize"] = f"""with {o} select raw_name, n_rows, {normal("raw_name")} as normal from
+        (select trim(raw_name) as raw_name, count(*) as n_rows from orgs where trim(raw_name) <> '' group by 1) n"""
     sql["entity_exact_alias"] = f"""with {o}, {resolve_cte("orgs", "raw_name")} select normal, n_rows, alias_name from (
         select trim(raw_name) as raw, count(*) as n_rows from orgs where trim(raw_name) <> '' group by 1) c join exact using (raw)"""
     for name, folded in (("entity_fuzzy_match", True), ("entity_fuzzy_match_compat", False)):

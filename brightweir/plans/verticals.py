@@ -86,6 +86,17 @@ def _judge(items: DataFrame, reason: Column, **made: Column) -> DataFrame:
     return computed_once(items, reason=F.coalesce(unreadable, reason), **made).drop("unreadable")
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared scratch folder and read it back.
+
+    Used where several later steps read one costly result: it is computed once,
+    and losing an executor afterwards costs a read instead of a recomputation.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _accepted(c: Column) -> Column:
     return F.when(F.col("reason").isNull(), c)
 
@@ -100,21 +111,17 @@ def _common(kind: str, source_name: Column, url: Column, collected_at: Column) -
     }
 
 
-def _resolved(judged: DataFrame, name: str, known: Dictionary, mode: str) -> tuple[DataFrame, DataFrame]:
-    # Only accepted rows are resolved and logged.
-    resolved = resolve_entities(judged.where("reason is null"), name, ARRIVAL, known, mode)
-    return resolved.withColumn("raw_name", F.col(name)), judged.where("reason is not null")
+def _resolved(judged: DataFrame, name: str, known: Dictionary, mode: str, vertical: str) -> DataFrame:
+    # Resolution reads its input twice, for the distinct names and for the records.
+    named = staged(judged.withColumn("raw_name", _accepted(F.col(name))), f"items-{vertical}")
+    return resolve_entities(named, "raw_name", ARRIVAL, known, mode)
 
 
-def _finish(
-    vertical: str, done: DataFrame, rejected: DataFrame | None, added: dict[str, Column], columns: list[str]
-) -> Ingested:
-    # What the mapping log needs travels with the judged rows.
+def _finish(vertical: str, done: DataFrame, added: dict[str, Column], columns: list[str]) -> Ingested:
+    # What the mapping log needs travels with the judged rows; rejected rows keep only their reason.
     logged = ["raw_name", "canonical_name", "method", "confidence"] if "method" in done.columns else []
-    judged = done.withColumns(added).select(*ARRIVAL, "reason", *columns, *logged)
-    if rejected is not None:
-        judged = judged.unionByName(rejected.select(*ARRIVAL, "reason"), allowMissingColumns=True)
-    return Ingested(vertical, judged.withColumn("vertical", F.lit(vertical)), columns)
+    made = [_accepted(added.get(c, F.col(c))).alias(c) for c in [*columns, *logged]]
+    return Ingested(vertical, done.select(*ARRIVAL, "reason", F.lit(vertical).alias("vertical"), *made), columns)
 
 
 def ingest_startups(landed: DataFrame, known: Dictionary, collected_at: Column, mode: str = "folded",
@@ -124,7 +131,7 @@ def ingest_startups(landed: DataFrame, known: Dictionary, collected_at: Column,
     judged = _judge(items, required(login=F.col("login"), url=F.col("url")))
     if limit is not None:
         judged = limited(judged.where("reason is null"), limit)
-    resolved, rejected = _resolved(judged, "login", known, mode)
+    resolved = _resolved(judged, "login", known, mode, "startups")
     added = _common("STARTUP", F.lit(fixed.STARTUP_SOURCE), F.col("url"), collected_at) | {
         "entity_name": F.col("canonical_name"),
         "employee_count": F.lit(None).cast("int"),
@@ -132,7 +139,7 @@ def ingest_startups(landed: DataFrame, known: Dictionary, collected_at: Column,
     }
     columns = ["hash_key", "schema_version", "record_type", "source_name", "source_url", "entity_name",
                "employee_count", "collected_at"]
-    return _finish("startups", resolved, rejected, added, columns)
+    return _finish("startups", resolved, added, columns)
 
 
 def split_model_id(model_id: Column) -> tuple[Column, Column]:
@@ -153,7 +160,7 @@ def ingest_products(landed: DataFrame, known: Dictionary, collected_at: Column,
     judged = _judge(items, missing, owner=owner, product=product, url=url)
     if limit is not None:
         judged = limited(judged.where("reason is null"), limit)
-    resolved, rejected = _resolved(judged, "owner", known, mode)
+    resolved = _resolved(judged, "owner", known, mode, "products")
     added = _common("PRODUCT", F.lit(fixed.PRODUCT_SOURCE), F.col("url"), collected_at) | {
         "startup_name": F.col("canonical_name"),
         "pricing_model": F.lit(fixed.PRICING_MODELS[0]),
@@ -161,7 +168,7 @@ def ingest_products(landed: DataFrame, known: Dictionary, collected_at: Column,
     }
     columns = ["hash_key", "schema_version", "record_type", "source_name", "source_url", "startup_name",
                "pricing_model", "collected_at"]
-    return _finish("products", resolved, rejected, added, columns)
+    return _finish("products", resolved, added, columns)
 
 
 def ingest_papers(landed: DataFrame, repo_stats: DataFrame, collected_at: Column, limit: int | None = None) -> Ingested:
@@ -173,7 +180,7 @@ def ingest_papers(landed: DataFrame, repo_stats: DataFrame, collected_at: Column
     judged = _judge(items, empty, published_date=published)
     if limit is not None:
         judged = limited(judged.where("reason is null"), limit)
-    judged = judged.withColumn("github_url", _accepted(repo_url(F.col("repo"))))
+    judged = staged(judged.withColumn("github_url", _accepted(repo_url(F.col("repo")))), "items-papers")
     starred = with_stars(judged, "github_url", "own_stars", repo_stats, ARRIVAL)
     paper_url = F.when(F.coalesce("paper_id", F.lit("")) == "", F.lit("")).otherwise(
         F.concat(F.lit(fixed.ABSTRACT_PREFIX), F.col("paper_id"))
@@ -184,11 +191,11 @@ def ingest_papers(landed: DataFrame, repo_stats: DataFrame, collected_at: Column
         "paper_url": paper_url,
         "github_stars": F.col("stars"),
         "collected_at": collected_at,
-        "hash_key": _accepted(record_key("paper", F.col("title"), paper_url)),
+        "hash_key": record_key("paper", F.col("title"), paper_url),
     }
     columns = ["hash_key", "schema_version", "record_type", "title", "authors", "paper_url", "github_url",
                "github_stars", "published_date", "collected_at"]
-    return _finish("research_papers", starred, None, added, columns)
+    return _finish("research_papers", starred, added, columns)
 
 
 def _dated(items: DataFrame, needed: Column, ts: Column, ref: Column) -> DataFrame:
@@ -207,10 +214,8 @@ def ingest_news(landed: DataFrame, layouts: dict[str, list[str]], ref: Column, c
     judged = _dated(items, needed, ts, ref)
     if limit is not None:
         judged = limited(judged.where("reason is null"), limit)
-    # Pages are parsed only for accepted items.
-    accepted = judged.where("reason is null")
-    rejected = judged.where("reason is not null")
-    summary = F.coalesce(clean_html(F.col("body"), fixed.MAX_SUMMARY_CHARS), F.lit(""))
+    # Only accepted pages are handed to the parser.
+    summary = clean_html(_accepted(F.col("body")), fixed.MAX_SUMMARY_CHARS)
     added = _common("NEWS", F.col("source"), F.col("url"), collected_at) | {
         "published_date": iso_utc(F.col("published_ts")),
         "summary": summary,
@@ -218,7 +223,7 @@ def ingest_news(landed: DataFrame, layouts: dict[str, list[str]], ref: Column, c
     }
     columns = ["hash_key", "schema_version", "record_type", "source_name", "source_url", "title",
                "published_date", "summary", "collected_at"]
-    return _finish("news", accepted, rejected, added, columns)
+    return _finish("news", judged, added, columns)
 
 
 def ingest_jobs(landed: DataFrame, layouts: dict[str, list[str]], known: Dictionary, ref: Column,
@@ -232,7 +237,7 @@ def ingest_jobs(landed: DataFrame, layouts: dict[str, list[str]], known: Diction
     judged = _dated(items, F.coalesce(off_topic, needed), ts, ref)
     if limit is not None:
         judged = limited(judged.where("reason is null"), limit)
-    resolved, rejected = _resolved(judged, "company", known, mode)
+    resolved = _resolved(judged, "company", known, mode, "jobs")
     url = F.coalesce("url", F.lit(""))
     added = _common("JOB", F.col("source"), url, collected_at) | {
         "company": F.col("canonical_name"),
@@ -242,7 +247,7 @@ def ingest_jobs(landed: DataFrame, layouts: dict[str, list[str]], known: Diction
     }
     columns = ["hash_key", "schema_version", "record_type", "source_name", "source_url", "company",
                "published_date", "is_remote", "role_family", "collected_at"]
-    return _finish("jobs", resolved, rejected, added, columns)
+    return _finish("jobs", resolved, added, columns)
 
 
 def extract_pages(df: DataFrame, page: str, ref: Column) -> DataFrame:
@@ -296,18 +301,15 @@ def flattened(records: DataFrame, kind: str) -> DataFrame:
 def run_vertical(ingested: Ingested, root: str) -> dict[str, int]:
     """Run an ingest once and append to the tables below ``root``.
 
-    The judged rows are written to the shared scratch folder first, so that the
-    data sink, the quarantine, the mapping log and the counts all read one
-    result.  Returns inserted, duplicate and rejected counts.
+    The judged rows are staged first, so that the data sink, the quarantine, the
+    mapping log and the counts all read one result.  Returns inserted, duplicate
+    and rejected counts.
     """
-    spark = ingested.judged.sparkSession
-    staged = scratch_path(spark, f"judged-{ingested.vertical}")
-    ingested.judged.write.parquet(staged)
-    staging = Ingested(ingested.vertical, spark.read.parquet(staged), ingested.columns)
-    accepted = staging.judged.where("reason is null").select(*ARRIVAL, *ingested.columns)
-    counts = upsert(accepted, f"{root}/{ingested.vertical}", "hash_key", ARRIVAL)
-    rejected = staging.quarantine.select(*ARRIVAL, "vertical", "reason")
+    judged = staged(ingested.judged, f"judged-{ingested.vertical}")
+    done = Ingested(ingested.vertical, judged, ingested.columns)
+    counts = upsert(judged.where("reason is null").select(*ARRIVAL, *done.columns), f"{root}/{done.vertical}", "hash_key", ARRIVAL)
+    rejected = done.quarantine.select(*ARRIVAL, "vertical", "reason")
     rejected.write.mode("append").partitionBy("vertical", "reason").parquet(f"{root}/quarantine")
-    if staging.mapping_log is not None:
-        staging.mapping_log.write.mode("append").parquet(f"{root}/entity_mappings")
+    if done.mapping_log is not None:
+        done.mapping_log.write.mode("append").parquet(f"{root}/entity_mappings")
     return counts | {"rejected": rejected.count()}

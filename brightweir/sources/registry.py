@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brightweir import fixed_values as fixed
+from brightweir.operators.lookup import small_or_shuffled
 
 SCHEMA = (
     "vertical string, name string, type string, parser_type string, rate_limit_rps int, enabled boolean"
@@ -21,9 +22,9 @@ def registry(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
 
 
 def enabled_only(df: DataFrame, source: str, sources: DataFrame) -> DataFrame:
-    """Records of enabled sources.  The registry lists sources, so it stays small."""
+    """Records of enabled sources."""
     on = sources.where("enabled").select(F.col("name").alias(source))
-    return df.join(F.broadcast(on), source, "left_semi")
+    return df.join(small_or_shuffled(on), source, "left_semi")
 
 
 def coverage(counts: DataFrame, source: str, sources: DataFrame) -> DataFrame:

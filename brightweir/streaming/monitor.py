@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from brightweir.operators.dedup import first_wins, new_rows, read_table
+from brightweir.operators import dedup
 from brightweir.operators.freshness import fresh_only, reason_code
 
 # Accepted rows span 24 hours and 15 minutes; a shorter delay would drop fresh rows silently.
@@ -71,11 +71,7 @@ def append_new(stream: DataFrame, path: str, checkpoint: str, key: str, order: S
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        rows = first_wins(batch, key, order)
-        stored = read_table(batch.sparkSession, path)
-        if stored is not None:
-            rows = new_rows(rows, stored, key)
-        rows.write.mode("append").parquet(path)
+        dedup.append_new(dedup.first_wins(batch, key, order), path, key)
 
     return (
         stream.writeStream.foreachBatch(write)
