@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from brightweir import fixed_values as fixed
 from brightweir.functions.text import first_line_name, token_estimate
 from brightweir.operators.chunking import chunk_table
+from brightweir.operators.lookup import computed_once
 from brightweir.operators.validate import failed_rules, record_rules
 
 # Nested form of a record as the service returns it; unknown fields are ignored.
@@ -55,7 +56,8 @@ def parse_responses(df: DataFrame, body: str, kind: str) -> DataFrame:
     readable = F.coalesce(F.rlike(F.col(body), F.lit(r"(?s)^\s*\{.*\}\s*$")), F.lit(False)) & (
         F.get_json_object(F.col(body), "$").isNotNull()
     )
-    typed = df.withColumn("_record", F.when(readable, record)).select(*df.columns, "_record.*")
+    parsed = computed_once(df, _record=F.when(readable, record))
+    typed = parsed.select(*df.columns, F.col("_record").isNotNull().alias("_readable"), "_record.*")
     typed = typed.withColumns(
         {
             "schemaVersion": F.coalesce("schemaVersion", F.lit(fixed.SCHEMA_VERSION)),
@@ -73,7 +75,8 @@ def parse_responses(df: DataFrame, body: str, kind: str) -> DataFrame:
             .withField("role_family", F.coalesce("content.role_family", F.lit(fixed.ROLE_FAMILY))),
         )
     rules = failed_rules(record_rules(kind))
-    return typed.withColumn("failed", F.when(readable, rules).otherwise(F.array(F.lit("unreadable"))))
+    failed = F.when(F.col("_readable"), rules).otherwise(F.array(F.lit("unreadable")))
+    return typed.withColumn("failed", failed).drop("_readable")
 
 
 def rule_extract(df: DataFrame, text: str, kind: str) -> DataFrame:
