@@ -590,6 +590,19 @@ def stream_fresh_ingest(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@query
+def stream_news_ingest(spark, sf_dir):
+    """News ingest over a landed table read as a stream, several files per batch."""
+    landed = scratch_path(spark, "landed-news")
+    w.landed_news(spark, sf_dir).repartition(4, "source", "page").write.parquet(landed)
+    stream = monitor.landed_stream(spark, landed, files_per_trigger=2)
+    judged = verticals.ingest_news(stream, w.NEWS_LAYOUTS, _ref(), _collected())
+    target = scratch_path(spark, "news")
+    rows = judged.judged.where("reason is null").select(*verticals.ARRIVAL, *judged.columns)
+    monitor.append_new(rows, target, scratch_path(spark, "news-log"), "hash_key", verticals.ARRIVAL).awaitTermination()
+    return spark.read.parquet(target).select(*judged.columns)
+
+
 @query
 def stream_quarantine(spark, sf_dir):
     stale = monitor.stale_stream(_event_stream(spark, sf_dir, 2), "ts", _ref()).select("event_id", "reason_code")

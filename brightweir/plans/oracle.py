@@ -487,6 +487,7 @@ def statements() -> dict[str, str]:
         case when event_id % 7 <> 0 then 'Org ' || user_id end as entity_name from events"""
 
     # Streams
+    sql["stream_news_ingest"] = sql["ingest_news"]
     sql["stream_fresh_ingest"] = f"""select event_id, sha256('event:' || lower(event_type || ':' || event_id)) as hash_key,
         strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as published_date from events
         where ts between {REF} - interval 24 hour and {REF} + interval 15 minute"""

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from brightweir.operators import dedup
 from brightweir.operators.freshness import fresh_only, reason_code
@@ -23,6 +23,11 @@ WATERMARK = "25 hours"
 WAYS = 16
 
 
+LANDED_SCHEMA = StructType(
+    [StructField("source", StringType()), StructField("page", LongType()), StructField("payload", StringType())]
+)
+
+
 def file_stream(spark: SparkSession, path: str, schema: StructType, pattern: str = "*.parquet",
                 files_per_trigger: int = 1000) -> DataFrame:
     """Landed Parquet files as a stream."""
@@ -34,6 +39,11 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, pattern: str
     )
 
 
+def landed_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
+    """A landed table (``source, page, payload``) that keeps growing, as a stream."""
+    return file_stream(spark, path, LANDED_SCHEMA, files_per_trigger=files_per_trigger)
+
+
 def fresh_stream(stream: DataFrame, ts: str, ref: Column, key: str, spread_by: Sequence[str]) -> DataFrame:
     """Fresh rows, each key once within the watermark.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from brightweir import fixed_values as fixed
 from brightweir.functions.dates import reference
 from brightweir.operators import resolve
-from brightweir.plans import catalog, verticals
+from brightweir.plans import catalog, job, verticals
 from brightweir.sinks import export
 from brightweir.sources import registry
 from brightweir.sources.landing import read_landed
@@ -163,6 +163,24 @@ def test_landed_files(spark, tmp_path):
     assert _reasons(done) == {"MISSING_ID": 1}
 
 
+def test_whole_run(spark, tmp_path):
+    landed = {
+        "news": _landed(spark, [("R", 0, RSS), ("A", 0, ATOM)]),
+        "jobs": _landed(spark, [(name, 0, payload) for name, payload in JOBS.items()]),
+    }
+    options = dict(news_layouts={"rss": ["R"], "atom": ["A"]}, export_dir=str(tmp_path / "csv"))
+
+    def once():
+        rows = job.run(spark, landed, str(tmp_path / "tables"), REF, COLLECTED, **options).collect()
+        return {r.vertical: (r.discovered, r.valid, r.duplicates, r.rejected) for r in rows}
+
+    assert once() == {"news": (7, 3, 0, 4), "jobs": (11, 8, 0, 3), "ALL": (18, 11, 0, 7)}
+    assert once() == {"news": (7, 0, 3, 4), "jobs": (11, 0, 8, 3), "ALL": (18, 0, 11, 7)}
+    assert sorted(p.name for p in (tmp_path / "csv").iterdir()) == ["entity_mapping_log.csv", "jobs.csv", "news.csv"]
+    with pytest.raises(ValueError):
+        job.run(spark, {"other": landed["news"]}, str(tmp_path), REF, COLLECTED)
+
+
 @pytest.mark.parametrize("name", list(catalog.VERTICALS))
 def test_every_row_is_accounted_for(spark, name):
     done = catalog.VERTICALS[name](spark, SF)
