@@ -164,7 +164,7 @@ def date_format_iso(spark, sf_dir):
 @query
 def freshness_verdict(spark, sf_dir):
     judged = freshness.with_freshness(w.table(spark, sf_dir, "events"), "ts", _ref())
-    return judged.select("event_id", "is_fresh", "reason_code", F.round("age_seconds", 3).alias("age_seconds"))
+    return judged.select("event_id", "is_fresh", "reason_code", F.round("age_seconds", 6).alias("age_seconds"))
 
 
 @query

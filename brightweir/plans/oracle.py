@@ -346,7 +346,7 @@ def statements() -> dict[str, str]:
     sql["date_format_iso"] = "select event_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') as iso from events"
     sql["freshness_verdict"] = f"""select event_id, ts >= {REF} - interval 24 hour and ts <= {REF} + interval 15 minute as is_fresh,
         case when ts < {REF} - interval 24 hour then 'STALE_RECORD' when ts > {REF} + interval 15 minute then 'FUTURE_TIMESTAMP' end as reason_code,
-        round((epoch_us({REF}) - epoch_us(ts)) / 1000000.0, 3)::double as age_seconds from events"""
+        round((epoch_us({REF}) - epoch_us(ts)) / 1000000.0, 6)::double as age_seconds from events"""
     sql["freshness_filter"] = f"""select event_id, user_id, event_type from events
         where ts between {REF} - interval 24 hour and {REF} + interval 15 minute"""
 
