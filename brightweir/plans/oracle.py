@@ -145,10 +145,16 @@ def page_text(html: str, limit: int) -> str:
     return f"substr(trim(regexp_replace({text}, '\\s+', ' ', 'g')), 1, {limit})"
 
 
-def chunks_cte(limit: int) -> str:
+def chunks_cte(limit: int, strict: bool = False) -> str:
     """CTE ``chunks(doc_id, lang, source, chunk_no, chunk)``: a fold over the pieces of each document."""
     gap = "chr(10) || chr(10)"
-    words = "list_transform(string_split(s, ' '), lambda x, i: {'s': x, 'g': 1, 'b': i = 1})"
+    split = "string_split(s, ' ')"
+    if strict:
+        split = f"""flatten(list_transform({split}, lambda x: case when length(x) <= {limit} then [x]
+            else list_transform(range(0, (length(x) + {limit} - 1) // {limit}), lambda n: substr(x, n * {limit} + 1, {limit})) end))"""
+    words = f"list_transform({split}, lambda x, i: {{'s': x, 'g': 1, 'b': i = 1}})"
+    close = "array_to_string(st.cur, ' ')"
+    last = close if strict else "array_to_string(st.cur, '\n\n')"
     marked = "regexp_replace(p, '([.?!])\\s+', '\\1' || chr(1), 'g')"
     sentences = f"""flatten(list_transform(string_split({marked}, chr(1)), lambda s: case when length(s) <= {limit}
         then [{{'s': s, 'g': 1, 'b': false}}] else {words} end))"""
@@ -158,11 +164,11 @@ def chunks_cte(limit: int) -> str:
     cut as (select *, {pieces} as pieces from docs where length(t) > {limit}),
     folded as (select *, list_reduce(pieces, lambda st, x: case
         when len(st.cur) > 0 and (x.b or st.size + length(x.s) + x.g > {limit})
-        then {{'done': list_append(st.done, case when x.g = 2 then array_to_string(st.cur, '\n\n') else array_to_string(st.cur, ' ') end), 'cur': [x.s],
+        then {{'done': list_append(st.done, case when x.g = 2 then {last} else {close} end), 'cur': [x.s],
             'size': (length(x.s) + x.g)::bigint}}
         else {{'done': st.done, 'cur': list_append(st.cur, x.s), 'size': (st.size + length(x.s) + x.g)::bigint}} end,
         {{'done': []::varchar[], 'cur': []::varchar[], 'size': 0::bigint}}) as st from cut),
-    listed as (select doc_id, lang, source, list_append(st.done, array_to_string(st.cur, '\n\n')) as cs from folded
+    listed as (select doc_id, lang, source, list_append(st.done, {last}) as cs from folded
         union all select doc_id, lang, source, [t] as cs from docs where length(t) <= {limit} and t <> ''),
     chunks as (select doc_id, lang, source, unnest(range(0, len(cs)))::integer as chunk_no, unnest(cs) as chunk from listed)"""
 
@@ -406,8 +412,9 @@ def statements() -> dict[str, str]:
     limit = fixed.MAX_CHUNK_CHARS
     sql["chunk_corpus"] = f"""with {chunks} select doc_id, chunk_no, chunk, length(chunk)::integer as n_chars,
         length(chunk) > {limit} as over_limit from chunks"""
-    sql["chunk_stats"] = f"""with {chunks} select lang, source, count(*) as n_chunks, sum(length(chunk))::bigint as total_chars,
-        max(length(chunk))::integer as max_chars, sum((length(chunk) > {limit})::int)::bigint as n_over_limit from chunks group by lang, source"""
+    for name, ctes in (("chunk_stats", chunks), ("chunk_stats_strict", chunks_cte(limit, strict=True))):
+        sql[name] = f"""with {ctes} select lang, source, count(*) as n_chunks, sum(length(chunk))::bigint as total_chars,
+            max(length(chunk))::integer as max_chars, sum((length(chunk) > {limit})::int)::bigint as n_over_limit from chunks group by lang, source"""
     head = (w.INSTRUCTIONS + "\n\nTask: " + w.TASK + "\n\nSource Content:\n").replace("'", "''")
     sql["extraction_requests"] = f"""with {chunks}, r as (select doc_id, chunk_no, '{head}' || chunk as prompt from chunks)
         select doc_id, chunk_no, prompt, {est.format("prompt")}::bigint as est_tokens from r"""
