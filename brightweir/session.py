@@ -15,6 +15,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Streaming state may outgrow the memory of an executor.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Pages and documents may be megabytes each; keep one Arrow batch small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
