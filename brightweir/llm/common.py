@@ -31,6 +31,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """A table without rows; ``schema`` lists names and types."""
+    columns = (column.split() for column in schema.split(", "))
+    return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in columns])
+
+
 def whole_text(name: str = "text") -> Column:
     """The text column, null as empty."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from brightweir.llm.common import WHITE, row_numbered, staged, whole_text
+from brightweir.llm.common import WHITE, empty, row_numbered, staged, whole_text
 from brightweir.operators.lookup import spread_lookup
 
 # Digests a bucket is meant to hold, and ways a digest is split before it is counted.
@@ -171,7 +171,7 @@ class CuckooIndex:
     def __init__(self, spark: SparkSession, expected: int) -> None:
         self.spark = spark
         self.buckets = max(1, -(-expected // KEYS_PER_BUCKET))
-        self.state = spark.createDataFrame([], STATE)
+        self.state = empty(spark, STATE)
 
     def _bucketed(self, digests: DataFrame) -> DataFrame:
         return digests.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(self.buckets)).cast("int"))

@@ -26,7 +26,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brightweir.llm.common import in_slices
+from brightweir.llm.common import in_slices, staged
+from brightweir.operators.lookup import small_or_shuffled
 
 UNDETERMINED = "und"
 # The sample of labelled text: symbols per language, and in all for very many
@@ -191,7 +192,7 @@ def learn(docs: DataFrame) -> Model:
     labelled = docs.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = small_or_shuffled(staged(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages"))
     # A share of the hash range that holds about SAMPLE_DOCS documents, whatever the size.
     share = F.lit(float(1 << 40)) * F.least(F.lit(1.0), F.lit(float(SAMPLE_DOCS)) / F.col("n"))
     drawn = labelled.withColumn("draw", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))).join(counts, "lang").where(F.col("draw") < share)
