@@ -91,14 +91,16 @@ def _scan(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
             )
         )
     hits = texts.select("blob", F.explode(F.array_compact(F.array(*per_rule))).alias("hit"))
+    # A row that occurs twice is scanned twice; each time is counted by itself.
+    hits = hits.withColumn("time", F.monotonically_increasing_id())
     lengths = F.arrays_zip(
         F.transform("hit.gaps", lambda x: F.length(x)).alias("gap"),
         F.transform("hit.whole", lambda x: F.length(x)).alias("size"),
         F.transform("hit.part", lambda x: F.length(x)).alias("part"),
     )
-    each = hits.select("blob", "hit.kind", "hit.version", "hit.rank", "hit.least", F.posexplode(lengths).alias("n", "at"))
+    each = hits.select("blob", "time", "hit.kind", "hit.version", "hit.rank", "hit.least", F.posexplode(lengths).alias("n", "at"))
     each = each.where("at.size is not null")
-    so_far = Window.partitionBy("blob", "rank").orderBy("n")
+    so_far = Window.partitionBy("blob", "rank", "time").orderBy("n")
     end = F.sum(F.col("at.gap") + F.col("at.size")).over(so_far)
     placed = each.select("blob", "version", "kind", "rank", (end - F.col("at.size")).cast("int").alias("start"), end.cast("int").alias("end"), "at.part", "least")
     return placed.where("part >= least").drop("part", "least")
