@@ -101,11 +101,9 @@ class Contexts:
         places = np.flatnonzero(inside >= ORDER)
         contexts, grams = [], []
         context = np.zeros(len(places), np.uint64)
-        weight = _STEP
         for order in range(ORDER + 1):
             if order:
-                context = context + codes[places - order] * weight
-                weight = weight * _STEP
+                context = context + codes[places - order] * np.uint64(int(_STEP) ** order % (1 << 64))
             contexts.append(_slot(context))
             grams.append(_slot(context * _STEP + codes[places]))
         return cls(np.repeat(np.arange(len(texts)), lengths)[places], contexts, grams)
