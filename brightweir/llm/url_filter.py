@@ -5,7 +5,7 @@ the longest rule that fits decides.  Where none fits, two variable-order Markov
 models judge, one of accepted and one of rejected URLs: every character is
 predicted from up to ``ORDER`` characters before it, each order smoothed by the
 next lower one.  The difference of the log-likelihoods per character is held
-against a threshold calibrated on URLs the models were not trained on.
+against the threshold that gives even odds on URLs the models were not trained on.
 
 The models learn from all URLs that a rule decides, each counted once.  Counts
 are summed in Spark into tables of a fixed number of slots, so their size is
@@ -188,17 +188,31 @@ def train(rows: DataFrame) -> Model | None:
     for row in found:
         held[int(row.good), row.bin] = row.n
     if held.sum(axis=1).all():
-        model.threshold = _best_cut(held, width)
+        model.threshold = _even_odds(held, width)
     return model
 
 
-def _best_cut(held: np.ndarray, width: float) -> float:
-    """The middle of the cuts that have the least mean error of both classes."""
-    share = held / held.sum(axis=1, keepdims=True)
-    lost = np.concatenate(([0.0], np.cumsum(share[1])))
-    passed = 1.0 - np.concatenate(([0.0], np.cumsum(share[0])))
-    best = np.flatnonzero(np.isclose(lost + passed, (lost + passed).min()))
-    return LOW + width * float(best.mean())
+def _even_odds(held: np.ndarray, width: float) -> float:
+    """The score at which a logistic curve through both classes, weighed alike, is one half.
+
+    The labels are softened by one row, which keeps the curve finite where the
+    classes do not overlap.
+    """
+    middles = LOW + width * (np.arange(BINS) + 0.5)
+    rows = held.sum(axis=1, keepdims=True)
+    share, soft = held / rows, 1.0 / (rows + 2.0)
+    design = np.stack([middles, np.ones(BINS)], axis=1)
+    weight, wanted = share.sum(axis=0), share[1] * (1.0 - soft[1]) + share[0] * soft[0]
+    line = np.array([1.0, 0.0])
+    for _ in range(100):
+        chance = 1.0 / (1.0 + np.exp(-np.clip(design @ line, -30, 30)))
+        slope = design.T @ (weight * chance - wanted)
+        curve = (design * (weight * chance * (1.0 - chance))[:, None]).T @ design + 1e-6 * np.eye(2)
+        step = np.clip(np.linalg.solve(curve, slope), -1.0, 1.0)
+        line -= step
+        if np.abs(step).max() < 1e-9:
+            break
+    return float(-line[1] / line[0]) if line[0] > 0 else 0.0
 
 
 def _score(rows: DataFrame, model: Model, text: Column) -> Column:
