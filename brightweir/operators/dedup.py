@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brightweir.functions.urls import canonical_url, url_key
 from brightweir.operators.lookup import small_or_shuffled
+from brightweir.session import scratch_path
 
 
 def _order(columns: Sequence[str]) -> Column:
@@ -104,12 +105,19 @@ def upsert(df: DataFrame, path: str, key: str, order: Sequence[str], partition_b
     """Append the rows whose key the table does not hold yet; first arrival wins.
 
     Running the same batch again inserts nothing.  The table must have a single
-    writer.  Counts come from the committed files, so retried tasks cannot
-    distort them.
+    writer.  The batch is evaluated once: its winners are written to the shared
+    folder with the number of rows each stands for.  Counts come from committed
+    files, so retried tasks cannot distort them.
     """
     spark = df.sparkSession
+    rest = [c for c in df.columns if c != key]
+    winners = df.groupBy(key).agg(F.min_by(F.struct(*rest), _order(order)).alias("row"), F.count(F.lit(1)).alias("arrivals"))
+    scratch = scratch_path(spark, "winners")
+    winners.write.parquet(scratch)
+    winners = spark.read.parquet(scratch)
     existing = read_table(spark, path)
     before = existing.count() if existing is not None else 0
-    append_new(first_wins(df, key, order).drop(*order), path, key, partition_by)
+    append_new(winners.select(key, "row.*").drop(*order), path, key, partition_by)
     inserted = spark.read.parquet(path).count() - before
-    return {"inserted": inserted, "duplicates": df.count() - inserted}
+    read = winners.agg(F.coalesce(F.sum("arrivals"), F.lit(0))).first()[0]
+    return {"inserted": inserted, "duplicates": read - inserted}

@@ -35,17 +35,22 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def spread_lookup(df: DataFrame, dimension: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+def spread_lookup(
+    df: DataFrame, dimension: DataFrame, key: str, spread_by: Sequence[str], counts: DataFrame | None = None
+) -> DataFrame:
     """Left join on a key some values of which may hold a large share of ``df``.
 
     ``dimension`` has one row per key, with ``n_rows``: how often the key occurs
     in ``df`` (see ``key_counts``).  Rows of a hot key, and rows without a key,
     are spread by a hash of ``spread_by``; the dimension rows of hot keys are
-    repeated to match.
+    repeated to match.  A costly dimension is planned once if ``counts`` gives
+    the keys and ``n_rows`` apart from it.
     """
-    total = dimension.agg(F.sum("n_rows")).scalar()
-    judged = dimension.withColumn("is_hot", F.col("n_rows") * HOT_SHARE > total)
-    hot = judged.where("is_hot").select(key, "is_hot")
+    counts = dimension if counts is None else counts
+    total = counts.agg(F.sum("n_rows")).scalar()
+    is_hot = F.col("n_rows") * HOT_SHARE > total
+    hot = counts.where(is_hot).select(key, F.lit(True).alias("is_hot"))
+    judged = dimension.withColumn("is_hot", is_hot)
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(WAYS)).cast("int")
 
     left = df.join(F.broadcast(hot), key, "left").withColumn(

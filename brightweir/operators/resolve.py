@@ -30,15 +30,6 @@ from brightweir.operators.lookup import BROADCAST_ROWS, computed_once, key_count
 LITERAL_CANONICALS = 500
 
 
-def default_aliases() -> dict[str, list[str]]:
-    """Canonical name to aliases, in dictionary order."""
-    table = {}
-    for line in fixed.ALIASES.strip().splitlines():
-        canonical, aliases = line.split(": ", 1)
-        table[canonical] = aliases.split(", ")
-    return table
-
-
 @dataclass(frozen=True)
 class Dictionary:
     """Aliases and canonical names as tables."""
@@ -58,7 +49,7 @@ def dictionary(
     lookup, an alias holding a legal suffix word can never be hit unless
     ``normalize_aliases`` brings the keys into the same form.
     """
-    table = default_aliases() if table is None else table
+    table = fixed.ALIASES if table is None else table
     keys = {}
     for canonical, aliases in table.items():
         for alias in [canonical, *aliases]:
@@ -264,6 +255,7 @@ def resolve_entities(
         resolved.select("_name", "n_rows", "canonical_name", "method", "confidence", "review", "empty_canonical"),
         "_name",
         spread_by,
+        key_counts(filled, "_name"),
     )
     blank = F.col("_name").isNull()
     return joined.withColumns(

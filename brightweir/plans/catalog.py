@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -405,11 +406,11 @@ def _papers(spark: SparkSession, sf_dir: str) -> verticals.Ingested:
 
 
 def _news(spark: SparkSession, sf_dir: str) -> verticals.Ingested:
-    return verticals.ingest_news(w.landed_news(spark, sf_dir), w.NEWS_LAYOUTS, _ref(), _collected())
+    return verticals.ingest_news(w.landed_news(spark, sf_dir), _ref(), _collected())
 
 
 def _jobs(spark: SparkSession, sf_dir: str) -> verticals.Ingested:
-    return verticals.ingest_jobs(w.landed_jobs(spark, sf_dir), w.JOB_LAYOUTS, resolve.dictionary(spark), _ref(), _collected())
+    return verticals.ingest_jobs(w.landed_jobs(spark, sf_dir), resolve.dictionary(spark), _ref(), _collected())
 
 
 VERTICALS = {"startups": _startups, "products": _products, "research_papers": _papers, "news": _news, "jobs": _jobs}
@@ -452,7 +453,8 @@ def ingest_jobs(spark, sf_dir):
 @query
 def required_fields(spark, sf_dir):
     """Rows each ingest rejects for a missing field."""
-    return report.rejections(_judged(spark, sf_dir)).where(F.col("reason").startswith("MISSING"))
+    screened = [build(spark, sf_dir).screened.select("vertical", "reason") for build in VERTICALS.values()]
+    return report.rejections(reduce(DataFrame.unionByName, screened)).where(F.col("reason").startswith("MISSING"))
 
 
 @query
@@ -466,10 +468,12 @@ def relevance_filter(spark, sf_dir):
 
 @query
 def limit_first_n(spark, sf_dir):
-    """The first fifty acceptable organisations in arrival order."""
+    """The first fifty acceptable organisations in arrival order, and what was rejected on the way."""
     landed = w.landed_startups(spark, sf_dir)
     limited = verticals.ingest_startups(landed, resolve.dictionary(spark), _collected(), limit=50)
-    return limited.judged.select(F.col("raw_name").alias("login"), F.col("source_url").alias("url"))
+    columns = ["reason", F.col("raw_name").alias("login"), F.col("source_url").alias("url"), F.lit(1).cast("bigint").alias("n_rows")]
+    kept = limited.judged.where("reason is null").select(*columns)
+    return kept.unionByName(limited.rejections.drop("vertical"), allowMissingColumns=True)
 
 
 @query
@@ -539,10 +543,13 @@ def table_counts(spark, sf_dir):
 def source_coverage(spark, sf_dir):
     """Items per registered source when one of them is switched off."""
     rows = [(*r[:5], r[5] and r[1] != "Engadget AI") for r in fixed.REGISTRY]
-    sources = registry.registry(spark, rows)
-    items = verticals.items_of(w.landed_news(spark, sf_dir), w.NEWS_LAYOUTS)
-    counts = registry.enabled_only(items, "source", sources).groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
-    return registry.coverage(counts, "source", sources)
+    landed = {"startups": w.landed_startups, "products": w.landed_products, "research_papers": w.landed_papers,
+              "news": w.landed_news, "jobs": w.landed_jobs}
+    items = [
+        verticals.items_of(read(spark, sf_dir), vertical, registry.sources_of(vertical, rows)).select("source", "fault")
+        for vertical, read in landed.items()
+    ]
+    return registry.coverage(reduce(DataFrame.unionByName, items), registry.registry(spark, rows))
 
 
 @query
@@ -596,7 +603,7 @@ def stream_news_ingest(spark, sf_dir):
     landed = scratch_path(spark, "landed-news")
     w.landed_news(spark, sf_dir).repartition(4, "source", "page").write.parquet(landed)
     stream = monitor.landed_stream(spark, landed, files_per_trigger=2)
-    judged = verticals.ingest_news(stream, w.NEWS_LAYOUTS, _ref(), _collected())
+    judged = verticals.ingest_news(stream, _ref(), _collected())
     target = scratch_path(spark, "news")
     rows = judged.judged.where("reason is null").select(*verticals.ARRIVAL, *judged.columns)
     monitor.append_new(rows, target, scratch_path(spark, "news-log"), "hash_key", verticals.ARRIVAL).awaitTermination()

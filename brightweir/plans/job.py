@@ -15,6 +15,7 @@ from brightweir.operators import report, resolve
 from brightweir.plans import verticals
 from brightweir.session import configure
 from brightweir.sinks import export
+from brightweir.sources.registry import Source
 
 VERTICALS = ("startups", "products", "research_papers", "news", "jobs")
 
@@ -26,8 +27,7 @@ def run(
     reference_time: datetime | str,
     collected_at: str,
     repo_stats: DataFrame | None = None,
-    news_layouts: dict[str, Sequence[str]] | None = None,
-    job_layouts: dict[str, Sequence[str]] | None = None,
+    sources: dict[str, Sequence[Source]] | None = None,
     known: resolve.Dictionary | None = None,
     mode: str = "folded",
     limits: dict[str, int] | None = None,
@@ -36,7 +36,8 @@ def run(
     """Ingest the given verticals and append their rows to the tables below ``root``.
 
     ``landed`` maps a vertical to its landed table (``source, page, payload``);
-    verticals that are left out are not run.  Nothing depends on the clock but
+    verticals that are left out are not run.  ``sources`` overrides what the
+    registry lists for a vertical.  Nothing depends on the clock but
     the elapsed time in the report, so a run can be repeated.  Returns one row
     per vertical and a total.
     """
@@ -49,20 +50,19 @@ def run(
     limits = limits or {}
     if repo_stats is None:
         repo_stats = spark.createDataFrame([], "repo_key string, stars long")
-    news_layouts = news_layouts or {"rss": fixed.NEWS_SOURCES}
-    job_layouts = job_layouts or {layout: [name] for layout, name in fixed.BOARD_NAMES.items()}
+    sources = sources or {}
 
     def ingested(vertical: str) -> verticals.Ingested:
-        table, limit = landed[vertical], limits.get(vertical)
+        table, limit, read = landed[vertical], limits.get(vertical), sources.get(vertical)
         if vertical == "startups":
-            return verticals.ingest_startups(table, known, collected, mode, limit)
+            return verticals.ingest_startups(table, known, collected, mode, limit, read)
         if vertical == "products":
-            return verticals.ingest_products(table, known, collected, mode, limit)
+            return verticals.ingest_products(table, known, collected, mode, limit, read)
         if vertical == "research_papers":
-            return verticals.ingest_papers(table, repo_stats, collected, limit)
+            return verticals.ingest_papers(table, repo_stats, collected, limit, read)
         if vertical == "news":
-            return verticals.ingest_news(table, news_layouts, ref, collected, limit)
-        return verticals.ingest_jobs(table, job_layouts, known, ref, collected, mode, limit)
+            return verticals.ingest_news(table, ref, collected, limit, read)
+        return verticals.ingest_jobs(table, known, ref, collected, mode, limit, read)
 
     started = time.monotonic()
     counts = []

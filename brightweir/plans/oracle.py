@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from brightweir import fixed_values as fixed
-from brightweir.operators.resolve import default_aliases
 from brightweir.plans import workload as w
 
 REF = f"timestamp '{w.NEWS_REF}'"
@@ -95,7 +94,7 @@ def common(a: str, b: str) -> str:
 
 def resolve_cte(source: str, name: str, folded: bool = True) -> str:
     """CTEs ending in ``resolved(raw, normal, canonical_name, method, confidence, best_name, best_score)``."""
-    table = default_aliases()
+    table = fixed.ALIASES
     keys = {}
     for canonical, aliases in table.items():
         for alias in [canonical, *aliases]:
@@ -258,7 +257,7 @@ PRODUCT_COLUMNS = f"""hash_key, '1.0' as schema_version, 'PRODUCT' as record_typ
     url as source_url, canonical_name as startup_name, 'FREE' as pricing_model, '{COLLECTED}' as collected_at"""
 PAPER_COLUMNS = f"""hash_key, '1.0' as schema_version, 'RESEARCH_PAPER' as record_type, title, authors, paper_url, github_url,
     github_stars, published_date, '{COLLECTED}' as collected_at"""
-JOB_COLUMNS = f"""hash_key, '1.0' as schema_version, 'JOB' as record_type, source as source_name, link as source_url,
+JOB_COLUMNS = f"""hash_key, '1.0' as schema_version, 'JOB' as record_type, recorded as source_name, link as source_url,
     canonical_name as company, {iso("t")} as published_date,
     case when board = 4 then coalesce(remote, true) else true end as is_remote, 'Engineering' as role_family,
     '{COLLECTED}' as collected_at"""
@@ -424,8 +423,8 @@ def statements() -> dict[str, str]:
     sql["ingest_products"] = f"with {products_cte()} {first('product_rows', 'seq', PRODUCT_COLUMNS)}"
     sql["ingest_papers"] = f"with {papers_cte()} {first('paper_rows', 'k', PAPER_COLUMNS)}"
     sql["ingest_news"] = f"""with {news_cte()}, ok as (select * from news_judged where reason is null)
-        {first('ok', 'source, page, seq', news_columns())}"""
-    sql["ingest_jobs"] = f"with {jobs_cte()} {first('job_rows', 'source, page, seq', JOB_COLUMNS)}"
+        {first('ok', f'list_position({fixed.NEWS_SOURCES}, source), page, seq', news_columns())}"""
+    sql["ingest_jobs"] = f"with {jobs_cte()} {first('job_rows', 'board, page, seq', JOB_COLUMNS)}"
     sql["required_fields"] = " union all ".join(
         f"select * from (with {_judged(v)} select vertical, reason, count(*) as n_rows from judged where reason like 'MISSING%' "
         f"group by 1, 2) {v}_r" for v in VERTICALS)
@@ -433,7 +432,12 @@ def statements() -> dict[str, str]:
         case when o_orderkey % 2 = 0 then 'Maintenance lead' else 'Clerk' end as title from orders join customer on o_custkey = c_custkey)
         select o_orderkey, title from t where segment like '%ai%' or segment like '%machine learning%' or segment like '%data%'
         or lower(priority) like '%ai%' or lower(priority) like '%data%' or lower(priority) like '%machine learning%' or lower(title) like '%ai%'"""
-    sql["limit_first_n"] = f"""with {startups_cte()} select login, url from (select * from startup_ok order by seq limit 50) x"""
+    sql["limit_first_n"] = f"""with items as ({w.duck(w.startup_items)}),
+        told as (select *, case when trim(login) = '' then 'MISSING_LOGIN' when trim(url) = '' then 'MISSING_URL' end as reason from items),
+        kept as (select * from told where reason is null order by seq limit 50),
+        cut as (select case when count(*) = 50 then max(seq) else 1e18 end as last from kept)
+        select null as reason, login, url, 1 as n_rows from kept
+        union all select reason, null, null, count(*) from told, cut where reason is not null and seq <= last group by reason"""
     sql["flatten_entities"] = """select 'job' || o_orderkey as source_url, 'orders' as source_name, c_name as company,
         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') as published_date, (o_orderkey % 2)::integer as is_remote, 'Engineering' as role_family
         from orders join customer on o_custkey = c_custkey"""
@@ -462,10 +466,17 @@ def statements() -> dict[str, str]:
     counts.append("select 'entity_mappings' as table_name, sum(n) as n_rows from (" + " union all ".join(
         f"select * from (with {ctes} select count(*) as n from {rows}) {n}_l" for n, ctes, rows in keys if n != "research_papers") + ") l")
     sql["table_counts"] = "select table_name, n_rows::bigint as n_rows from (" + " union all ".join(counts) + ") c"
-    sql["source_coverage"] = f"""with {news_cte()}, registry(vertical, name, enabled) as (values {_values([(v, n, e) for v, n, _, _, _, e in fixed.REGISTRY])})
-        select vertical, name, enabled and name <> 'Engadget AI' as enabled, case when name = 'Engadget AI' then 0 else coalesce(n, 0) end as n_rows
-        from registry left join (select source, count(*) as n from news_items group by source) s on name = source"""
-    sql["export_matrix"] = f"""with {jobs_cte()}, j as ({first('job_rows', 'source, page, seq', JOB_COLUMNS)})
+    sql["source_coverage"] = f"""with registry(vertical, name, enabled) as (values {_values([(v, n, e) for v, n, _, _, _, e in fixed.REGISTRY])}),
+        counts as (select source, count(*) as n from ({w.duck(w.news_items)}) i group by source
+            union all select source, count(*) from ({w.duck(w.job_items).replace("cast(e as string)", "cast(e as varchar)")}) i group by source
+            union all select 'GitHub AI Organizations', count(*) from ({w.duck(w.startup_items)}) i
+            union all select 'Hugging Face Models', count(*) from ({w.duck(w.product_items)}) i
+            union all select 'Papers With Code', count(*) from ({w.duck(w.paper_items)}) i)
+        select vertical, name, enabled and name <> 'Engadget AI' as enabled,
+            case when name = 'Engadget AI' then 0 else coalesce(n, 0) end as n_rows,
+            case when name = 'Engadget AI' then coalesce(n, 0) else 0 end as n_disabled
+        from registry left join counts on name = source"""
+    sql["export_matrix"] = f"""with {jobs_cte()}, j as ({first('job_rows', 'board, page, seq', JOB_COLUMNS)})
         select hash_key, schema_version, record_type, source_name, source_url, company, published_date,
         case when is_remote then '1' else '0' end as is_remote, role_family, collected_at from j"""
     sql["export_roundtrip"] = f"""with {papers_cte()}, p as ({first('paper_rows', 'k', PAPER_COLUMNS)})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -20,11 +21,12 @@ from brightweir.operators.report import ingest_metrics, rejections
 from brightweir.operators.resolve import Dictionary, mapping_log, resolve_entities
 from brightweir.operators.validate import required
 from brightweir.session import scratch_path
-from brightweir.sources.landing import UNREADABLE, parse_items
+from brightweir.sources.landing import parse_items
 from brightweir.sources.layouts import LAYOUTS
+from brightweir.sources.registry import Source, sources_of
 
-# Arrival order of an item: its source, page and position.
-ARRIVAL = ["source", "page", "pos"]
+# Arrival order of an item: place of its source in the registry, source, page and position.
+ARRIVAL = ["source_rank", "source", "page", "pos"]
 NOT_TOPICAL = "NOT_TOPICAL"
 EMPTY_RECORD = "EMPTY_RECORD"
 
@@ -35,11 +37,14 @@ class Ingested:
 
     ``judged`` holds every row read, with a rejection ``reason`` or the output
     columns and their ``hash_key``; the other tables derive from it.
+    ``screened`` has the same rows before names are resolved or stars joined:
+    where they came from, and the reason.
     """
 
     vertical: str
     judged: DataFrame
     columns: list[str]
+    screened: DataFrame
 
     @property
     def rows(self) -> DataFrame:
@@ -67,23 +72,36 @@ class Ingested:
     @property
     def rejections(self) -> DataFrame:
         """Rejected rows per reason."""
-        return rejections(self.judged)
+        return rejections(self.screened)
 
 
-def items_of(landed: DataFrame, layouts: dict[str, list[str]]) -> DataFrame:
-    """Items of a landed table that may mix layouts: layout name to its sources."""
-    return parse_items(landed, {name: (LAYOUTS[name], sources) for name, sources in layouts.items()})
+def items_of(landed: DataFrame, vertical: str, sources: Sequence[Source] | None = None) -> DataFrame:
+    """Items of a landed table that may mix the layouts of a vertical.
+
+    ``sources`` lists what is read, in order; the default is the registry.
+    """
+    kind = "papers" if vertical == "research_papers" else vertical
+    layouts = {name: spec for name, spec in LAYOUTS.items() if spec.vertical == kind}
+    return parse_items(landed, layouts, sources_of(vertical) if sources is None else sources)
 
 
-def limited(df: DataFrame, limit: int | None) -> DataFrame:
-    """The first accepted rows in arrival order, if a limit is asked for."""
-    return df if limit is None else df.orderBy(*ARRIVAL).limit(limit)
+def limited(judged: DataFrame, limit: int | None) -> DataFrame:
+    """The first accepted rows in arrival order, if a limit is asked for.
+
+    Rejected rows that arrived before the last of them stay; all do if there
+    are fewer accepted rows than the limit.
+    """
+    if limit is None:
+        return judged
+    arrival = F.struct(*ARRIVAL)
+    first = judged.where("reason is null").orderBy(*ARRIVAL).limit(limit)
+    cut = first.agg(F.when(F.count(F.lit(1)) == limit, F.max(arrival)).alias("cut")).scalar()
+    return judged.where(cut.isNull() | (arrival <= cut))
 
 
 def _judge(items: DataFrame, reason: Column, **made: Column) -> DataFrame:
     """Add the rejection reason, and other columns that later steps read."""
-    unreadable = F.when(F.col("unreadable"), F.lit(UNREADABLE))
-    return computed_once(items, reason=F.coalesce(unreadable, reason), **made).drop("unreadable")
+    return computed_once(items, reason=F.coalesce("fault", reason), **made).drop("fault")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -117,20 +135,22 @@ def _resolved(judged: DataFrame, name: str, known: Dictionary, mode: str, vertic
     return resolve_entities(named, "raw_name", ARRIVAL, known, mode)
 
 
-def _finish(vertical: str, done: DataFrame, added: dict[str, Column], columns: list[str]) -> Ingested:
+def _finish(
+    vertical: str, judged: DataFrame, done: DataFrame, added: dict[str, Column], columns: list[str]
+) -> Ingested:
     # What the mapping log needs travels with the judged rows; rejected rows keep only their reason.
     logged = ["raw_name", "canonical_name", "method", "confidence"] if "method" in done.columns else []
     made = [_accepted(added.get(c, F.col(c))).alias(c) for c in [*columns, *logged]]
-    return Ingested(vertical, done.select(*ARRIVAL, "reason", F.lit(vertical).alias("vertical"), *made), columns)
+    told = [*ARRIVAL, "reason", F.lit(vertical).alias("vertical")]
+    return Ingested(vertical, done.select(*told, *made), columns, judged.select(*told))
 
 
 def ingest_startups(landed: DataFrame, known: Dictionary, collected_at: Column, mode: str = "folded",
-                    limit: int | None = None) -> Ingested:
+                    limit: int | None = None, sources: Sequence[Source] | None = None) -> Ingested:
     """Organisation search pages."""
-    items = items_of(landed, {"organisations": [fixed.STARTUP_SOURCE]})
+    items = items_of(landed, "startups", sources)
     judged = _judge(items, required(login=F.col("login"), url=F.col("url")))
-    if limit is not None:
-        judged = limited(judged.where("reason is null"), limit)
+    judged = limited(judged, limit)
     resolved = _resolved(judged, "login", known, mode, "startups")
     added = _common("STARTUP", F.lit(fixed.STARTUP_SOURCE), F.col("url"), collected_at) | {
         "entity_name": F.col("canonical_name"),
@@ -139,7 +159,7 @@ def ingest_startups(landed: DataFrame, known: Dictionary, collected_at: Column,
     }
     columns = ["hash_key", "schema_version", "record_type", "source_name", "source_url", "entity_name",
                "employee_count", "collected_at"]
-    return _finish("startups", resolved, added, columns)
+    return _finish("startups", judged, resolved, added, columns)
 
 
 def split_model_id(model_id: Column) -> tuple[Column, Column]:
@@ -151,15 +171,14 @@ def split_model_id(model_id: Column) -> tuple[Column, Column]:
 
 
 def ingest_products(landed: DataFrame, known: Dictionary, collected_at: Column, mode: str = "folded",
-                    limit: int | None = None) -> Ingested:
+                    limit: int | None = None, sources: Sequence[Source] | None = None) -> Ingested:
     """Model listings."""
-    items = items_of(landed, {"models": [fixed.PRODUCT_SOURCE]})
+    items = items_of(landed, "products", sources)
     missing = F.when(F.col("model_id").isNull(), F.lit("MISSING_ID"))
     owner, product = split_model_id(F.col("model_id"))
     url = F.concat(F.lit(fixed.MODEL_SITE_PREFIX), F.col("model_id"))
     judged = _judge(items, missing, owner=owner, product=product, url=url)
-    if limit is not None:
-        judged = limited(judged.where("reason is null"), limit)
+    judged = limited(judged, limit)
     resolved = _resolved(judged, "owner", known, mode, "products")
     added = _common("PRODUCT", F.lit(fixed.PRODUCT_SOURCE), F.col("url"), collected_at) | {
         "startup_name": F.col("canonical_name"),
@@ -168,18 +187,18 @@ def ingest_products(landed: DataFrame, known: Dictionary, collected_at: Column,
     }
     columns = ["hash_key", "schema_version", "record_type", "source_name", "source_url", "startup_name",
                "pricing_model", "collected_at"]
-    return _finish("products", resolved, added, columns)
+    return _finish("products", judged, resolved, added, columns)
 
 
-def ingest_papers(landed: DataFrame, repo_stats: DataFrame, collected_at: Column, limit: int | None = None) -> Ingested:
+def ingest_papers(landed: DataFrame, repo_stats: DataFrame, collected_at: Column, limit: int | None = None,
+                  sources: Sequence[Source] | None = None) -> Ingested:
     """Daily papers with the stars of their repositories."""
-    items = items_of(landed, {"papers": [fixed.PAPER_SOURCE]})
+    items = items_of(landed, "research_papers", sources)
     # A date text that cannot be read is kept as it is.
     published = F.coalesce(iso_utc(parse_absolute(F.col("published_text"))), F.col("published_text"))
     empty = F.when(F.col("is_empty"), F.lit(EMPTY_RECORD))
     judged = _judge(items, empty, published_date=published)
-    if limit is not None:
-        judged = limited(judged.where("reason is null"), limit)
+    judged = limited(judged, limit)
     judged = staged(judged.withColumn("github_url", _accepted(repo_url(F.col("repo")))), "items-papers")
     starred = with_stars(judged, "github_url", "own_stars", repo_stats, ARRIVAL)
     paper_url = F.when(F.coalesce("paper_id", F.lit("")) == "", F.lit("")).otherwise(
@@ -195,7 +214,7 @@ def ingest_papers(landed: DataFrame, repo_stats: DataFrame, collected_at: Column
     }
     columns = ["hash_key", "schema_version", "record_type", "title", "authors", "paper_url", "github_url",
                "github_stars", "published_date", "collected_at"]
-    return _finish("research_papers", starred, added, columns)
+    return _finish("research_papers", judged, starred, added, columns)
 
 
 def _dated(items: DataFrame, needed: Column, ts: Column, ref: Column) -> DataFrame:
@@ -205,41 +224,39 @@ def _dated(items: DataFrame, needed: Column, ts: Column, ref: Column) -> DataFra
     return _judge(timed, F.coalesce(needed, late))
 
 
-def ingest_news(landed: DataFrame, layouts: dict[str, list[str]], ref: Column, collected_at: Column,
-                limit: int | None = None) -> Ingested:
+def ingest_news(landed: DataFrame, ref: Column, collected_at: Column, limit: int | None = None,
+                sources: Sequence[Source] | None = None) -> Ingested:
     """Feed items no older than the freshness limit."""
-    items = items_of(landed, layouts)
+    items = items_of(landed, "news", sources)
     needed = required(title=F.col("title"), url=F.col("url"), date=F.col("published_text"))
     ts = publication_time(ref, feed=F.col("published_text"))["ts"]
     judged = _dated(items, needed, ts, ref)
-    if limit is not None:
-        judged = limited(judged.where("reason is null"), limit)
+    judged = limited(judged, limit)
     # Only accepted pages are handed to the parser.
     summary = clean_html(_accepted(F.col("body")), fixed.MAX_SUMMARY_CHARS)
-    added = _common("NEWS", F.col("source"), F.col("url"), collected_at) | {
+    added = _common("NEWS", F.col("recorded"), F.col("url"), collected_at) | {
         "published_date": iso_utc(F.col("published_ts")),
         "summary": summary,
         "hash_key": record_key("news", F.col("title"), F.col("url")),
     }
     columns = ["hash_key", "schema_version", "record_type", "source_name", "source_url", "title",
                "published_date", "summary", "collected_at"]
-    return _finish("news", judged, added, columns)
+    return _finish("news", judged, judged, added, columns)
 
 
-def ingest_jobs(landed: DataFrame, layouts: dict[str, list[str]], known: Dictionary, ref: Column,
-                collected_at: Column, mode: str = "folded", limit: int | None = None) -> Ingested:
+def ingest_jobs(landed: DataFrame, known: Dictionary, ref: Column, collected_at: Column, mode: str = "folded",
+                limit: int | None = None, sources: Sequence[Source] | None = None) -> Ingested:
     """Postings of five board layouts in one canonical form."""
-    items = items_of(landed, layouts)
+    items = items_of(landed, "jobs", sources)
     off_topic = F.when(~F.col("is_topical"), F.lit(NOT_TOPICAL))
     no_company = F.when(~F.col("company_optional"), required(company=F.col("company")))
     needed = F.coalesce(no_company, required(date=F.col("published_text")))
     ts = epoch_or_text(F.col("published_text"), ref)
     judged = _dated(items, F.coalesce(off_topic, needed), ts, ref)
-    if limit is not None:
-        judged = limited(judged.where("reason is null"), limit)
+    judged = limited(judged, limit)
     resolved = _resolved(judged, "company", known, mode, "jobs")
     url = F.coalesce("url", F.lit(""))
-    added = _common("JOB", F.col("source"), url, collected_at) | {
+    added = _common("JOB", F.col("recorded"), url, collected_at) | {
         "company": F.col("canonical_name"),
         "published_date": iso_utc(F.col("published_ts")),
         "role_family": F.lit(fixed.ROLE_FAMILY),
@@ -247,7 +264,7 @@ def ingest_jobs(landed: DataFrame, layouts: dict[str, list[str]], known: Diction
     }
     columns = ["hash_key", "schema_version", "record_type", "source_name", "source_url", "company",
                "published_date", "is_remote", "role_family", "collected_at"]
-    return _finish("jobs", resolved, added, columns)
+    return _finish("jobs", judged, resolved, added, columns)
 
 
 def extract_pages(df: DataFrame, page: str, ref: Column) -> DataFrame:
@@ -306,7 +323,7 @@ def run_vertical(ingested: Ingested, root: str) -> dict[str, int]:
     and rejected counts.
     """
     judged = staged(ingested.judged, f"judged-{ingested.vertical}")
-    done = Ingested(ingested.vertical, judged, ingested.columns)
+    done = Ingested(ingested.vertical, judged, ingested.columns, judged)
     counts = upsert(judged.where("reason is null").select(*ARRIVAL, *done.columns), f"{root}/{done.vertical}", "hash_key", ARRIVAL)
     rejected = done.quarantine.select(*ARRIVAL, "vertical", "reason")
     rejected.write.mode("append").partitionBy("vertical", "reason").parquet(f"{root}/quarantine")

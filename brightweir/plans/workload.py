@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brightweir import fixed_values as fixed
-from brightweir.operators.resolve import default_aliases
+from brightweir.sources.registry import sources_of
 
 # Reference times of the queries.
 NEWS_REF = "2024-01-15 12:00:00"
@@ -61,7 +61,7 @@ SPARK, DUCK = Dialect(True), Dialect(False)
 
 def _all_aliases() -> list[str]:
     keys: dict[str, None] = {}
-    for canonical, aliases in default_aliases().items():
+    for canonical, aliases in fixed.ALIASES.items():
         for alias in [canonical, *aliases]:
             keys.setdefault(alias.lower(), None)
     return list(keys)
@@ -147,7 +147,7 @@ def paper_items(d: Dialect) -> str:
     epoch = "1704067200 + doc_id * 3600"
     return f"""select doc_id as k, doc_id % 19 = 7 as no_paper,
         case when doc_id % 10 = 9 then '' else '2401.' || doc_id end as id,
-        case when doc_id % 8 = 1 then '' else substring(text, 1, 60) end as title,
+        case when doc_id % 8 = 1 then '' else 'Study ' || md5(text) end as title,
         case when doc_id % 16 = 1 then null else 'Daily ' || (doc_id % 40) end as outer_title,
         doc_id % 10 = 7 as no_authors, lang, source,
         case doc_id % 6 when 0 then {d.time_text(epoch, "iso")} when 1 then {d.time_text(epoch, "offset")}
@@ -185,9 +185,10 @@ def news_items(d: Dialect) -> str:
 def job_items(d: Dialect) -> str:
     e = f"{REF_EPOCH} - (o_orderkey * 613) % 180000 + 1200"
     company = noisy_name(d, "o_custkey", "c_name")
-    boards = list(fixed.BOARD_NAMES.values())
+    boards, recorded = [source.name for source in sources_of("jobs")], [source.recorded for source in sources_of("jobs")]
     return f"""with base as (
         select o_orderkey as k, o_orderkey % 5 as board, {d.pick(boards, "o_orderkey % 5")} as source,
+            {d.pick(recorded, "o_orderkey % 5")} as recorded,
             cast(floor(o_orderkey / 250) as bigint) as page, {e} as e, {company} as company,
             case when o_orderkey % 15 = 0 then '' else 'https://jobs.example.com/' || o_orderkey end as url,
             o_orderpriority as priority, lower(c_mktsegment) as segment
@@ -295,7 +296,7 @@ def landed_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(paper.alias("paper"), F.col("outer_title").alias("title"),
                  F.col("outer_published").alias("publishedAt"))
     )
-    paged = _paged(items.withColumn("item", item).select("seq", "item"), fixed.PAPER_SOURCE, 100)
+    paged = _paged(items.withColumn("item", item).select("seq", "item"), sources_of("research_papers")[0].name, 100)
     return _pages(paged, F.col("item"), "[", "]")
 
 
@@ -307,10 +308,8 @@ def _element(name: str, c: Column) -> Column:
     return F.concat(F.lit(f"<{name}>"), _xml(c), F.lit(f"</{name}>"))
 
 
-ATOM_SOURCES = [name for _, name, _, parser, _, _ in fixed.REGISTRY if parser == "atom_xml"]
-RSS_SOURCES = [name for name in fixed.NEWS_SOURCES if name not in ATOM_SOURCES]
-NEWS_LAYOUTS = {"rss": RSS_SOURCES, "atom": ATOM_SOURCES}
-JOB_LAYOUTS = {layout: [name] for layout, name in fixed.BOARD_NAMES.items()}
+ATOM_SOURCES = [source.name for source in sources_of("news") if source.layout == "atom"]
+RSS_SOURCES = [source.name for source in sources_of("news") if source.layout == "rss"]
 
 
 def landed_news(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,7 +358,7 @@ def landed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = F.array_sort(F.collect_list(F.struct("seq", item.alias("text"))))
     pages = tagged.groupBy("source", "page").agg(F.transform(listed, lambda i: i["text"]).alias("texts"))
     commas = F.array_join("texts", ",")
-    names = fixed.BOARD_NAMES
+    names = {source.layout: source.name for source in sources_of("jobs")}
     source = F.col("source")
     payload = (
         F.when(source == names["board_a"], F.concat(F.lit('[{"legal":"terms apply"},'), commas, F.lit("]")))

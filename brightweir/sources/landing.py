@@ -1,18 +1,21 @@
 """Reading landed payloads: one row per fetched page, then one row per item.
 
 A landed table has ``source`` (registry name of the feed or board), ``page``
-(order of the fetch within its source) and ``payload`` (the JSON or XML text).
+(number of the fetch within its source) and ``payload`` (the JSON or XML text).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from brightweir.sources.registry import DISABLED_SOURCE, Source
+
 UNREADABLE = "UNREADABLE_PAYLOAD"
+UNKNOWN_SOURCE = "UNKNOWN_SOURCE"
 
 # Raw columns of each vertical, the same for all layouts that feed it.
 RAW_COLUMNS = {
@@ -42,11 +45,16 @@ class SourceSpec:
 
 
 def read_landed(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """Landed files of one source, one page per file, in order of file name."""
+    """Landed files of one source, one page per file.
+
+    The page is the last number in the file name, 0 without one; the files of a
+    source must differ in it.
+    """
     files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"([0-9]+)[^0-9]*$", 1)
     return files.select(
         F.lit(source).alias("source"),
-        F.col("_metadata.file_name").alias("page"),
+        F.coalesce(number.try_cast("bigint"), F.lit(0).cast("bigint")).alias("page"),
         F.col("value").alias("payload"),
     )
 
@@ -64,27 +72,43 @@ def _raw_items(spec: SourceSpec) -> Column:
     return F.transform(items, raw).cast(f"array<struct<{RAW_COLUMNS[spec.vertical]}>>")
 
 
-def parse_items(landed: DataFrame, layouts: dict[str, tuple[SourceSpec, list[str]]]) -> DataFrame:
-    """One row per item: ``source, page, pos, unreadable`` and the raw columns of the vertical.
+def parse_items(landed: DataFrame, layouts: dict[str, SourceSpec], sources: Sequence[Source]) -> DataFrame:
+    """One row per item: ``source_rank, source, page, pos, recorded, fault`` and the raw columns of the vertical.
 
-    ``layouts`` maps a layout to its spec and its sources.  All layouts are read
-    in one pass over the landed table.  A page that cannot be read yields one
-    row with ``unreadable`` true instead of vanishing.
+    ``layouts`` has the specs of one vertical, ``sources`` what may be read, in
+    the order of arrival.  All layouts are read in one pass over the landed
+    table.  Nothing vanishes: a page that cannot be read, and one of a source
+    that is not listed, yields one row with its ``fault``; the items of a source
+    that is switched off have theirs.
     """
-    items = None
-    for spec, sources in layouts.values():
-        mine = F.col("source").isin(sources)
-        items = F.when(mine, _raw_items(spec)) if items is None else items.when(mine, _raw_items(spec))
-    known = [source for _, sources in layouts.values() for source in sources]
-    exploded = landed.where(F.col("source").isin(known)).select(
-        "source", "page", F.posexplode_outer(F.coalesce(items, _nothing(layouts))).alias("pos", "item")
+    items = ranks = recorded = None
+    for layout in dict.fromkeys(source.layout for source in sources):
+        mine = F.col("source").isin([source.name for source in sources if source.layout == layout])
+        raw = _raw_items(layouts[layout])
+        items = F.when(mine, raw) if items is None else items.when(mine, raw)
+    for rank, source in enumerate(sources):
+        mine = F.col("source") == source.name
+        ranks = (F if ranks is None else ranks).when(mine, F.lit(rank))
+        recorded = (F if recorded is None else recorded).when(mine, F.lit(source.recorded))
+    exploded = landed.select(
+        F.coalesce(ranks, F.lit(len(sources))).alias("source_rank"),
+        "source",
+        "page",
+        recorded.alias("recorded"),
+        F.posexplode_outer(F.coalesce(items, _nothing(layouts))).alias("pos", "item"),
+    )
+    off = [source.name for source in sources if not source.enabled]
+    fault = F.coalesce(
+        F.when(F.col("recorded").isNull(), F.lit(UNKNOWN_SOURCE)),
+        F.when(F.col("source").isin(off), F.lit(DISABLED_SOURCE)) if off else F.lit(None),
+        F.when(F.col("item").isNull(), F.lit(UNREADABLE)),
     )
     return exploded.where("pos is not null").select(
-        "source", "page", "pos", F.col("item").isNull().alias("unreadable"), "item.*"
+        "source_rank", "source", "page", "pos", "recorded", fault.alias("fault"), "item.*"
     )
 
 
-def _nothing(layouts: dict[str, tuple[SourceSpec, list[str]]]) -> Column:
+def _nothing(layouts: dict[str, SourceSpec]) -> Column:
     # A list of one null item: stands for a page that cannot be read.
-    vertical = next(iter(layouts.values()))[0].vertical
+    vertical = next(iter(layouts.values())).vertical
     return F.array(F.lit(None)).cast(f"array<struct<{RAW_COLUMNS[vertical]}>>")

@@ -81,7 +81,12 @@ def append_new(stream: DataFrame, path: str, checkpoint: str, key: str, order: S
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        dedup.append_new(dedup.first_wins(batch, key, order), path, key)
+        # The winners are counted, matched and written: one evaluation of the batch.
+        winners = dedup.first_wins(batch, key, order).persist()
+        try:
+            dedup.append_new(winners, path, key)
+        finally:
+            winners.unpersist()
 
     return (
         stream.writeStream.foreachBatch(write)

@@ -10,6 +10,7 @@ from brightweir.plans import catalog, job, verticals
 from brightweir.sinks import export
 from brightweir.sources import registry
 from brightweir.sources.landing import read_landed
+from brightweir.sources.registry import Source
 
 REF = "2026-09-12 12:00:00"
 COLLECTED = "2026-09-12T12:30:00Z"
@@ -69,7 +70,7 @@ def test_papers(spark):
         {"paper": {}}, {"title": "no paper"}, {"paper": {"id": ""}},
     ]
     stars = spark.createDataFrame([("o/r", 12000)], "repo_key string, stars long")
-    done = verticals.ingest_papers(_landed(spark, [(fixed.PAPER_SOURCE, 0, json.dumps(items))]), stars, F.lit(COLLECTED))
+    done = verticals.ingest_papers(_landed(spark, [("Papers With Code", 0, json.dumps(items))]), stars, F.lit(COLLECTED))
     rows = sorted((r.title, r.authors, r.paper_url, r.github_url, r.github_stars, r.published_date) for r in done.rows.collect())
     assert rows == [
         ("Outer", [], fixed.ABSTRACT_PREFIX + "2", "https://github.com/O/R", 3, "in press"),
@@ -92,9 +93,12 @@ ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><title>feed</title>
 <entry><title>Soon</title><link href="https://n.example/7"/><updated>2026-09-13T11:00:00Z</updated></entry></feed>"""
 
 
+FEEDS = [Source("R", "rss"), Source("A", "atom")]
+
+
 def test_news_reads_both_dialects(spark):
     landed = _landed(spark, [("R", 0, RSS), ("A", 0, ATOM)])
-    done = verticals.ingest_news(landed, {"rss": ["R"], "atom": ["A"]}, reference(REF), F.lit(COLLECTED))
+    done = verticals.ingest_news(landed, reference(REF), F.lit(COLLECTED), sources=FEEDS)
     rows = sorted((r.title, r.source_name, r.source_url, r.published_date, r.summary) for r in done.rows.collect())
     assert rows == [
         ("A & B", "R", "https://n.example/1", "2026-09-12T08:00:00Z", "Hello world"),
@@ -104,15 +108,15 @@ def test_news_reads_both_dialects(spark):
 
 
 JOBS = {
-    "RemoteOK": json.dumps([{"legal": "x"}, {"id": 7, "date": "2026-09-12T08:00:00+00:00", "company": "OpenAI Inc", "url": ""},
+    "RemoteOK AI": json.dumps([{"legal": "x"}, {"id": 7, "date": "2026-09-12T08:00:00+00:00", "company": "OpenAI Inc", "url": ""},
                             {"id": 8, "date": "", "company": "B", "url": "u"}]),
-    "Jobicy": json.dumps({"jobs": [{"pubDate": "2026-09-12 07:00:00", "companyName": "Scale AI", "url": "u2"},
+    "Jobicy AI": json.dumps({"jobs": [{"pubDate": "2026-09-12 07:00:00", "companyName": "Scale AI", "url": "u2"},
                                    {"pubDate": "2026-09-12 07:00:00", "companyName": None, "url": "u3"}]}),
-    "Remotive": json.dumps({"jobs": [{"publication_date": "2026-09-12T06:00:00", "company_name": "Acme", "url": "u4"}]}),
+    "Remotive AI": json.dumps({"jobs": [{"publication_date": "2026-09-12T06:00:00", "company_name": "Acme", "url": "u4"}]}),
     "WeWorkRemotely": "<rss><channel><item><title>Cohere: Dev</title><link>u5</link><pubDate>Sat, 12 Sep 2026 05:00:00 +0000</pubDate></item>"
                       "<item><title>A very long company title without a colon</title><link>u6</link><pubDate>Sat, 12 Sep 2026 05:00:00 +0000</pubDate></item>"
                       "<item><title>: Dev</title><link>u9</link><pubDate>Sat, 12 Sep 2026 05:00:00 +0000</pubDate></item></channel></rss>",
-    "Arbeitnow": json.dumps({"data": [
+    "Arbeitnow AI": json.dumps({"data": [
         {"created_at": 1789200000, "company_name": "Groq", "url": "u7", "tags": ["Data"], "title": "x", "remote": False},
         {"created_at": "3 hours ago", "company_name": "Harvey", "url": "u8", "tags": [], "title": "AI dev"},
         {"created_at": 1789200000, "company_name": "Off", "url": "u10", "tags": ["ops"], "title": "cook"}]}),
@@ -121,8 +125,7 @@ JOBS = {
 
 def _jobs(spark):
     landed = _landed(spark, [(name, 0, payload) for name, payload in JOBS.items()])
-    layouts = {layout: [name] for layout, name in fixed.BOARD_NAMES.items()}
-    return verticals.ingest_jobs(landed, layouts, _known(spark), reference(REF), F.lit(COLLECTED))
+    return verticals.ingest_jobs(landed, _known(spark), reference(REF), F.lit(COLLECTED))
 
 
 def test_jobs_harmonise_five_layouts(spark):
@@ -151,13 +154,37 @@ def test_limit_takes_the_first_accepted_rows(spark):
     items = [{"login": "" if i % 2 else f"org{i}", "html_url": "u"} for i in range(20)]
     pages = [(fixed.STARTUP_SOURCE, 1, json.dumps({"items": items[10:]})), (fixed.STARTUP_SOURCE, 0, json.dumps({"items": items[:10]}))]
     done = verticals.ingest_startups(_landed(spark, pages), _known(spark), F.lit(COLLECTED), limit=6)
-    assert {r.raw_name for r in done.judged.collect()} == {f"org{i}" for i in (0, 2, 4, 6, 8, 10)}
+    # The rows rejected before the sixth accepted one stay and count.
+    assert {r.raw_name for r in done.judged.collect()} == {f"org{i}" for i in (0, 2, 4, 6, 8, 10)} | {None}
+    assert _reasons(done) == {"MISSING_LOGIN": 5}
+    more = verticals.ingest_startups(_landed(spark, pages), _known(spark), F.lit(COLLECTED), limit=11)
+    metrics = more.metrics.first()
+    assert (metrics.discovered, metrics.valid, metrics.duplicates, metrics.rejected) == (20, 10, 0, 10)
+
+
+def test_no_page_vanishes(spark):
+    pages = [("GitHub AI Organizations", 0, '{"items": [{"login": "a", "html_url": "u"}]}'), ("Elsewhere", 0, "{}"),
+             ("Elsewhere", 1, None), (None, 0, "x"), ("Y Combinator", 0, '{"items": [{"login": "b", "html_url": "u"}, {"login": "c"}]}')]
+    sources = [Source("GitHub AI Organizations", "organisations"), Source("Y Combinator", "organisations", enabled=False)]
+    done = verticals.ingest_startups(_landed(spark, pages), _known(spark), F.lit(COLLECTED), sources=sources)
+    assert _reasons(done) == {"UNKNOWN_SOURCE": 3, "DISABLED_SOURCE": 2}
+    metrics = done.metrics.first()
+    assert (metrics.discovered, metrics.valid, metrics.duplicates, metrics.rejected) == (6, 1, 0, 5)
+
+
+def test_sources_arrive_in_the_order_of_the_registry(spark):
+    # Of equal keys the one of the earlier source wins, then the lower page by number.
+    item = '{"jobs": [{"%s": "2026-09-12T08:00:00", "%s": "Acme", "url": "u"}]}'
+    boards = {"Remotive AI": item % ("publication_date", "company_name"), "Jobicy AI": item % ("pubDate", "companyName")}
+    done = verticals.ingest_jobs(_landed(spark, [(n, 0, p) for n, p in boards.items()]), _known(spark), reference(REF), F.lit(COLLECTED))
+    assert [r.source_name for r in done.rows.collect()] == ["Jobicy"]
 
 
 def test_landed_files(spark, tmp_path):
-    for page, payload in enumerate(['[{"id": "openai/a"}]', '[{"id": "openai/b"}, {"id": ""}]']):
-        (tmp_path / f"page-{page:03d}.json").write_text(payload)
+    for page, payload in {2: '[{"id": "openai/a"}]', 10: '[{"id": "openai/b"}, {"id": ""}]'}.items():
+        (tmp_path / f"v1_page_{page}.json").write_text(payload)
     landed = read_landed(spark, str(tmp_path), fixed.PRODUCT_SOURCE)
+    assert {r.page for r in landed.collect()} == {2, 10}
     done = verticals.ingest_products(landed, _known(spark), F.lit(COLLECTED))
     assert {r.source_url for r in done.rows.collect()} == {fixed.MODEL_SITE_PREFIX + "openai/a", fixed.MODEL_SITE_PREFIX + "openai/b"}
     assert _reasons(done) == {"MISSING_ID": 1}
@@ -165,10 +192,10 @@ def test_landed_files(spark, tmp_path):
 
 def test_whole_run(spark, tmp_path):
     landed = {
-        "news": _landed(spark, [("R", 0, RSS), ("A", 0, ATOM)]),
+        "news": _landed(spark, [("TechCrunch AI", 0, RSS), ("The Verge AI", 0, ATOM)]),
         "jobs": _landed(spark, [(name, 0, payload) for name, payload in JOBS.items()]),
     }
-    options = dict(news_layouts={"rss": ["R"], "atom": ["A"]}, export_dir=str(tmp_path / "csv"))
+    options = dict(export_dir=str(tmp_path / "csv"))
 
     def once():
         rows = job.run(spark, landed, str(tmp_path / "tables"), REF, COLLECTED, **options).collect()
@@ -203,9 +230,10 @@ def test_csv_mirror(spark, tmp_path):
 
 
 def test_registry(spark):
-    sources = registry.registry(spark, [("news", "a", "feed", "rss_xml", None, True), ("news", "b", "feed", "rss_xml", 2, False)])
-    rows = spark.createDataFrame([("a",), ("a",), ("b",)], "source string")
-    kept = registry.enabled_only(rows, "source", sources)
-    counts = kept.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
-    assert {(r.name, r.enabled, r.n_rows) for r in registry.coverage(counts, "source", sources).collect()} == {("a", True, 2), ("b", False, 0)}
+    listed = [("news", "a", "feed", "rss_xml", None, True), ("news", "b", "feed", "atom_xml", 2, False), ("news", "c", "html", "x", 2, True)]
+    assert registry.sources_of("news", listed) == [Source("a", "rss"), Source("b", "atom", enabled=False)]
+    sources = registry.registry(spark, listed)
+    rows = spark.createDataFrame([("a", None), ("a", "UNREADABLE_PAYLOAD"), ("b", "DISABLED_SOURCE")], "source string, fault string")
+    got = {(r.name, r.enabled, r.n_rows, r.n_disabled) for r in registry.coverage(rows, sources).collect()}
+    assert got == {("a", True, 1, 0), ("b", False, 0, 1), ("c", True, 0, 0)}
     assert registry.registry(spark).count() == 16

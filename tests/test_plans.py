@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from brightweir.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
@@ -18,9 +18,9 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in WRITTEN])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in WRITTEN])
 def test_no_pairwise_or_single_task_operators(spark, name):
-    text = plan(queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
         assert forbidden not in text, forbidden
     # One task sees all rows only after they have been aggregated or cut to a limit.
@@ -39,10 +39,10 @@ def test_no_pairwise_or_single_task_operators(spark, name):
     ],
 )
 def test_scans_read_only_what_is_needed(spark, name, columns):
-    text = plan(queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     for schema in re.findall(r"ReadSchema: struct<(.*?)>\n", text + "\n"):
         assert {part.split(":")[0] for part in schema.split(",")} <= columns
 
 
 def test_freshness_reaches_the_scan(spark):
-    assert "GreaterThanOrEqual(ts," in plan(queries()["freshness_filter"](spark, SF))
+    assert "GreaterThanOrEqual(ts," in plan(QUERIES["freshness_filter"](spark, SF))
