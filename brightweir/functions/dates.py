@@ -23,7 +23,6 @@ _SHORT_MONTH = r"(?i)^[a-z]{3}\.?\s+\d{1,2},\s*\d{4}$"
 _LONG_MONTH = r"(?i)^[a-z]{4,9}\s+\d{1,2},\s*\d{4}$"
 _DAY_MONTH = r"(?i)^\d{1,2}\s+[a-z]{3}\s+\d{4}$"
 _SLASHED = r"^\d{4}/\d{2}/\d{2}$"
-_RELATIVE = r"(\d+)\s+(second|sec|minute|min|hour|hr|day|week|month|year)s?\s+ago"
 
 
 def reference(moment: datetime | str) -> Column:
@@ -81,8 +80,8 @@ def parse_relative(c: Column, ref: Column) -> Column:
 
 def _relative(text: Column, ref: Column) -> Column:
     units = F.create_map(*[F.lit(x) for item in fixed.UNIT_SECONDS.items() for x in item])
-    amount = F.regexp_extract(text, _RELATIVE, 1).try_cast("bigint")
-    seconds = F.try_element_at(units, F.regexp_extract(text, _RELATIVE, 2)).cast("bigint")
+    amount = F.regexp_extract(text, fixed.RELATIVE_PATTERN, 1).try_cast("bigint")
+    seconds = F.try_element_at(units, F.regexp_extract(text, fixed.RELATIVE_PATTERN, 2)).cast("bigint")
     # Nothing was published before the year one.
     oldest = F.unix_timestamp(ref) + F.lit(62135596800)
     past = bind(
@@ -92,7 +91,7 @@ def _relative(text: Column, ref: Column) -> Column:
     return (
         F.when(text.contains("just now") | text.contains("moments ago"), ref)
         .when(text.contains("yesterday"), ref - F.expr("INTERVAL 1 DAY"))
-        .when(F.rlike(text, F.lit(_RELATIVE)), past)
+        .when(F.rlike(text, F.lit(fixed.RELATIVE_PATTERN)), past)
     )
 
 

@@ -33,7 +33,6 @@ PAGE_SCHEMA = StructType(
 
 _VOID = frozenset(fixed.VOID_ELEMENTS)
 _HIDDEN = frozenset(fixed.DROPPED_ELEMENTS + fixed.SILENT_ELEMENTS)
-_PUBLISHED = frozenset(fixed.PUBLISHED_PROPERTIES)
 _NOISE = re.compile(fixed.NOISE_CLASS, re.IGNORECASE)
 _SPACES = re.compile(r"\s+")
 
@@ -165,18 +164,12 @@ class PageReader(HTMLParser):
             self.json_ld.append(single.strip())
 
     def _read_meta(self, values: dict[str, str]) -> None:
-        content = values.get("content", "")
-        if not content:
-            return
-        names = {values.get("property", "").lower(), values.get("name", "").lower()}
-        if "og:title" in names:
-            self.meta["og_title"] = content.strip()
-        elif "og:description" in names:
-            self.meta["og_description"] = content.strip()
-        elif names & _PUBLISHED:
-            self.meta["og_published_time"] = content.strip()
-        elif values.get("name", "").lower() == "description":
-            self.meta["description"] = content.strip()
+        """An element fills one field, that of the first entry of ``META_FIELDS`` it is named by."""
+        for attribute, name, field in fixed.META_FIELDS:
+            given = (values.get(a, "").lower() for a in attribute)
+            if name in given and values.get("content"):
+                self.meta[field] = values["content"].strip()
+                return
 
     def finish(self) -> None:
         self.close()

@@ -11,7 +11,6 @@ from brightweir.functions.text import bind, strip
 _SPLIT = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//[^/?#]*)?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 # path up to the parameters of its last segment, and these parameters.
 _SEGMENT = r"(?s)^((?:.*/)?[^/;]*)(?:;(.*))?$"
-_REPO = r"(?i)github\.com/([^/]+)/([^/#?]+)"
 
 
 def _decode(c: Column) -> Column:
@@ -91,6 +90,6 @@ def repo_url(c: Column) -> Column:
 
 def repo_key(c: Column) -> Column:
     """Lower-cased ``owner/name`` of a code-host address, null for other addresses."""
-    owner = strip(F.regexp_extract(c, _REPO, 1))
-    name = F.regexp_replace(strip(F.regexp_extract(c, _REPO, 2)), r"\.git$", "")
-    return F.when(F.rlike(c, F.lit(_REPO)), F.lower(F.concat(owner, F.lit("/"), name)))
+    owner = strip(F.regexp_extract(c, fixed.REPO_PATTERN, 1))
+    name = F.regexp_replace(strip(F.regexp_extract(c, fixed.REPO_PATTERN, 2)), r"\.git$", "")
+    return F.when(F.rlike(c, F.lit(fixed.REPO_PATTERN)), F.lower(F.concat(owner, F.lit("/"), name)))

@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, StringType
 from brightweir import fixed_values as fixed
 from brightweir.functions.text import reduced, token_estimate
 
-_SENTENCE_END = re.compile(r"(?<=[.?!])\s+")
+_SENTENCE_END = re.compile(fixed.SENTENCE_END_PATTERN)
 _PARAGRAPH_BREAK = "\n\n"
 
 

@@ -33,16 +33,20 @@ RESPONSE_SCHEMAS = {
 }
 
 
+def request_head(kind: str, task: str) -> str:
+    """What stands before the text of a request: the task and the schema of the answer."""
+    return (
+        f"{task} Answer with one JSON object of the schema below and nothing else; "
+        f"leave a field out if the text does not state it.\nSchema of {kind}: {RESPONSE_SCHEMAS[kind]}\nText:\n"
+    )
+
+
 def requests(
-    df: DataFrame,
-    text: str,
-    instructions: str,
-    task: str,
-    max_chunk_chars: int = fixed.MAX_CHUNK_CHARS,
+    df: DataFrame, text: str, kind: str, task: str, max_chunk_chars: int = fixed.MAX_CHUNK_CHARS
 ) -> DataFrame:
-    """One request per chunk of each whole document, with its estimated tokens."""
+    """One request for a record kind per chunk of each whole document, with its estimated tokens."""
     chunks = chunk_table(df, text, max_chunk_chars)
-    prompt = F.concat(F.lit(f"{instructions}\n\nTask: {task}\n\nSource Content:\n"), F.col("chunk"))
+    prompt = F.concat(F.lit(request_head(kind, task)), F.col("chunk"))
     return chunks.withColumn("prompt", prompt).withColumn("est_tokens", token_estimate(F.col("prompt")))
 
 

@@ -349,7 +349,7 @@ def rule_extract(spark, sf_dir):
 
 @query
 def extraction_requests(spark, sf_dir):
-    requests = extraction.requests(_paragraphs(spark, sf_dir), "text", w.INSTRUCTIONS, w.TASK)
+    requests = extraction.requests(_paragraphs(spark, sf_dir), "text", "STARTUP", w.TASK)
     return requests.select("doc_id", "chunk_no", "prompt", "est_tokens")
 
 
@@ -610,6 +610,18 @@ def stream_news_ingest(spark, sf_dir):
     return spark.read.parquet(target).select(*judged.columns)
 
 
+@query
+def stream_news_quarantine(spark, sf_dir):
+    """What the news stream rejects, by source and reason."""
+    landed = scratch_path(spark, "landed-news")
+    w.landed_news(spark, sf_dir).repartition(4, "source", "page").write.parquet(landed)
+    judged = verticals.ingest_news(monitor.landed_stream(spark, landed, files_per_trigger=2), _ref(), _collected())
+    target = scratch_path(spark, "news-rejected")
+    rejected = judged.quarantine.select(*verticals.ARRIVAL, "reason")
+    monitor.append_all(rejected, target, scratch_path(spark, "news-rejected-log")).awaitTermination()
+    return spark.read.parquet(target).groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query
 def stream_quarantine(spark, sf_dir):
     stale = monitor.stale_stream(_event_stream(spark, sf_dir, 2), "ts", _ref()).select("event_id", "reason_code")
@@ -621,7 +633,7 @@ def stream_quarantine(spark, sf_dir):
 @query
 def stream_source_counts(spark, sf_dir):
     counts = monitor.window_counts(_event_stream(spark, sf_dir, 1), "ts", "event_type", delay="1 hour")
-    rows = counts.withColumn("window_start", dates.iso_utc(F.col("window_start")))
     target = scratch_path(spark, "counts")
-    monitor.append_all(rows, target, scratch_path(spark, "counts-log")).awaitTermination()
-    return spark.read.parquet(target)
+    monitor.append_updates(counts, target, scratch_path(spark, "counts-log")).awaitTermination()
+    latest = monitor.latest_counts(spark.read.parquet(target), "event_type")
+    return latest.withColumn("window_start", dates.iso_utc(F.col("window_start")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from brightweir import fixed_values as fixed
+from brightweir.operators.extraction import request_head
 from brightweir.plans import workload as w
 
 REF = f"timestamp '{w.NEWS_REF}'"
@@ -414,7 +415,7 @@ def statements() -> dict[str, str]:
     for name, ctes in (("chunk_stats", chunks), ("chunk_stats_strict", chunks_cte(limit, strict=True))):
         sql[name] = f"""with {ctes} select lang, source, count(*) as n_chunks, sum(length(chunk))::bigint as total_chars,
             max(length(chunk))::integer as max_chars, sum((length(chunk) > {limit})::int)::bigint as n_over_limit from chunks group by lang, source"""
-    head = (w.INSTRUCTIONS + "\n\nTask: " + w.TASK + "\n\nSource Content:\n").replace("'", "''")
+    head = request_head("STARTUP", w.TASK).replace("'", "''")
     sql["extraction_requests"] = f"""with {chunks}, r as (select doc_id, chunk_no, '{head}' || chunk as prompt from chunks)
         select doc_id, chunk_no, prompt, {est.format("prompt")}::bigint as est_tokens from r"""
 
@@ -506,11 +507,13 @@ def statements() -> dict[str, str]:
 
     # Streams
     sql["stream_news_ingest"] = sql["ingest_news"]
+    sql["stream_news_quarantine"] = f"""with {news_cte()} select source, reason, count(*) as n_rows from news_judged
+        where reason is not null group by source, reason"""
     sql["stream_fresh_ingest"] = f"""select event_id, sha256('event:' || lower(event_type || ':' || event_id)) as hash_key,
         strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as published_date from events
         where ts between {REF} - interval 24 hour and {REF} + interval 15 minute"""
     sql["stream_quarantine"] = f"""select event_id, case when ts < {REF} then 'STALE_RECORD' else 'FUTURE_TIMESTAMP' end as reason_code
         from events cross join (select 0 as copy union all select 1) c where not (ts between {REF} - interval 24 hour and {REF} + interval 15 minute)"""
     sql["stream_source_counts"] = """select strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%SZ') as window_start, event_type, count(*) as n_rows
-        from events where date_trunc('hour', ts) + interval 1 hour <= (select max(ts) - interval 1 hour from events) group by 1, 2"""
+        from events group by 1, 2"""
     return sql

@@ -22,7 +22,6 @@ COLLECTED_AT = "2024-01-15 12:30:00"
 REF_EPOCH = 1705320000
 
 # What the extraction requests ask for.
-INSTRUCTIONS = "Answer with one JSON object of the given schema. Use null for every field the text does not state."
 TASK = "Extract the organisation."
 
 

@@ -64,7 +64,7 @@ def stale_stream(stream: DataFrame, ts: str, ref: Column) -> DataFrame:
 
 
 def window_counts(stream: DataFrame, ts: str, source: str, width: str = "1 hour", delay: str = WATERMARK) -> DataFrame:
-    """Rows per tumbling window and source, emitted once the window is closed."""
+    """Rows per tumbling window and source: once a window is closed, or at every change (``append_updates``)."""
     return (
         stream.withWatermark(ts, delay)
         .groupBy(F.window(ts, width), source)
@@ -96,6 +96,29 @@ def append_new(stream: DataFrame, path: str, checkpoint: str, key: str, order: S
     )
 
 
+def append_updates(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write what changed in each batch to a folder of its own; a batch that is replayed replaces its folder.
+
+    So windows that are still open when a run ends are counted too.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def latest_counts(updates: DataFrame, source: str) -> DataFrame:
+    """The last count of each window and source in what ``append_updates`` has written."""
+    return updates.groupBy("window_start", source).agg(F.max_by("n_rows", "batch").alias("n_rows"))
+
+
 def append_all(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append every row of everything available now; the file sink commits each batch once."""
     return (

@@ -63,6 +63,20 @@ def test_closed_windows_are_counted(spark, tmp_path):
     assert got == {(REF, 2), (REF + timedelta(hours=1), 2)}
 
 
+def test_open_windows_are_counted_too(spark, tmp_path):
+    landed, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = _write(spark, landed, [(i, "k", REF + timedelta(minutes=20 * i), "s") for i in range(8)])
+
+    def run():
+        counts = monitor.window_counts(monitor.file_stream(spark, landed, schema, files_per_trigger=1), "ts", "source")
+        monitor.append_updates(counts, out, str(tmp_path / "log")).awaitTermination()
+        return {(r.window_start, r.n_rows) for r in monitor.latest_counts(spark.read.parquet(out), "source").collect()}
+
+    assert run() == {(REF, 3), (REF + timedelta(hours=1), 3), (REF + timedelta(hours=2), 2)}
+    _write(spark, landed, [(9, "k", REF + timedelta(minutes=150), "s")])
+    assert run() == {(REF, 3), (REF + timedelta(hours=1), 3), (REF + timedelta(hours=2), 3)}
+
+
 def test_scratch_is_in_the_shared_folder(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
