@@ -16,7 +16,7 @@ Only ``doc_id`` and the text are read, so other columns may have any name.
 from __future__ import annotations
 
 import functools
-import re
+import itertools
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
@@ -38,10 +39,12 @@ FEATURES = 256
 DIMENSIONS = 3
 BITS = 10
 SEED = 20240607
-# Characters one call of the library sees, and words a worker remembers.
-SLICE = 400_000
-PIECE = 200_000
-REMEMBERED = 250_000
+# Bytes that are split into words at once, characters of a piece of a longer
+# text, characters one call of the library sees, and parts of words a worker remembers.
+SLICE = 4_000_000
+PIECE = 1_000_000
+CALL = 400_000
+REMEMBERED = 800_000
 # Ids that one task of the sorted layout is meant to hold.
 IDS_PER_TASK = 8_000_000
 
@@ -49,25 +52,15 @@ IDS_PER_TASK = 8_000_000
 STORED = "<u2"
 STORED_BYTES = 2
 
-# White space that not every splitter knows; texts with it are encoded whole.
-_RARE_WHITE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-# Letters and then ASCII punctuation: two matches of the tokenizer's pattern.
-_LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
+# ASCII punctuation; after letters it is a match of the tokenizer's pattern of its own.
+_MARKS = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
 
 
-def _core(word: str) -> tuple[str, str]:
-    """A word's letters in lower case and the punctuation after them, where that is safe.
-
-    It is not where normalising takes a letter apart, or where lower case
-    depends on what stands next to it.
-    """
-    found = _LETTERS_THEN_MARKS.fullmatch(word)
-    if not found:
-        return word, ""
-    core = found[1].lower()
-    if not core.isascii() and (len(core) != len(found[1]) or "\u03a3" in found[1] or not unicodedata.is_normalized("NFC", found[1])):
-        return word, ""
-    return core, found[2]
+def _steady(letters: str) -> bool:
+    """Whether normalising keeps the letters, and lower case looks at each by itself."""
+    return letters.isascii() or (
+        len(letters.lower()) == len(letters) and "\u03a3" not in letters and unicodedata.is_normalized("NFC", letters)
+    )
 
 
 def _one_match(part: str) -> bool:
@@ -75,52 +68,68 @@ def _one_match(part: str) -> bool:
 
 
 class WordBpe:
-    """The library's tokenizer with a memory of the words it has met.
+    """The library's tokenizer with a memory of the parts of words it has met.
 
     White space separates words and is dropped, so a text has the ids of its
-    words.  A word of letters with punctuation after it has the ids of both.
+    words.  Texts are split at ASCII white space; what other white space a word
+    may hold is left to the library.  A word of letters with punctuation after
+    it has the ids of both.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text, as little-endian unsigned 16-bit integers."""
-        for start, stop in in_slices(texts, [len(t) for t in texts], SLICE):
-            for text in texts[start:stop] if stop - start == 1 else ():
-                yield b"".join(ids for piece in pieces_of(text, PIECE) for ids in self._encode_slice([piece]))
-            if stop - start > 1:
-                yield from self._encode_slice(texts[start:stop])
-
-    def _encode_slice(self, texts: list[str]) -> list[bytes]:
-        rows = [None if _RARE_WHITE.search(text) else text.split() for text in texts]
-        self._learn({word for row in rows if row for word in row})
-        known = self.words
-        return [self._whole(t) if row is None else b"".join(map(known.__getitem__, row)) for t, row in zip(texts, rows)]
-
-    def _whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, STORED).tobytes()
-
-    def _learn(self, words: set[str]) -> None:
-        fresh = words.difference(self.words)
-        if len(self.words) + len(fresh) > REMEMBERED:
-            self.words, fresh = {}, words
-        split = [(word, *_core(word)) for word in fresh]
-        self._learn_parts({part for _, core, tail in split for part in (core, tail)})
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text, as unsigned 16-bit integers."""
+        sizes = pc.binary_length(texts).to_pylist()
+        for start, stop in in_slices(sizes, sizes, SLICE):
+            if sizes[start] <= SLICE:
+                yield from self._encode_slice(texts.slice(start, stop - start))
+            else:
+                pieces = pa.array(pieces_of(texts[start].as_py(), PIECE), pa.string())
+                yield np.concatenate([ids for i in range(len(pieces)) for ids in self._encode_slice(pieces.slice(i, 1))])
+
+    def _encode_slice(self, texts: pa.Array) -> list[np.ndarray]:
+        words = pc.ascii_split_whitespace(texts)
+        # Each distinct word is looked up once; its ids are then laid where it stands.
+        flat = words.flatten().dictionary_encode()
+        spelled = self._spelled(flat.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, spelled), np.int64, len(spelled)) // STORED_BYTES
+        begins = np.cumsum(lengths) - lengths
+        index = flat.indices.to_numpy()
+        sizes = lengths[index]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        places = np.arange(ends[-1]) + np.repeat(begins[index] - ends[:-1], sizes)
+        ids = np.frombuffer(b"".join(spelled), STORED)[places]
+        offsets = words.offsets.to_numpy()
+        bounds = ends[offsets - offsets[0]].tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _spelled(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        cores, tails = [], []
+        for word in words:
+            core = word.rstrip(_MARKS)
+            if core.isalpha() and _steady(core):
+                cores.append(core.lower())
+                tails.append(word[len(core) :])
+            else:
+                cores.append(word)
+                tails.append("")
+        self._learn_parts({*cores, *tails})
         parts = self.parts
-        for word, core, tail in split:
-            self.words[word] = parts[core] + parts[tail] if tail else parts[core]
+        return [parts[core] + parts[tail] if tail else parts[core] for core, tail in zip(cores, tails)]
 
     def _learn_parts(self, parts: set[str]) -> None:
         fresh = parts.difference(self.parts)
-        if len(self.parts) + len(fresh) > 2 * REMEMBERED:
+        if len(self.parts) + len(fresh) > REMEMBERED:
             self.parts, fresh = {"": b""}, parts
-        joined = [part for part in fresh if _one_match(part)]
-        alone = [part for part in fresh if not _one_match(part)]
-        for start, stop in in_slices(joined, [len(part) + 1 for part in joined], SLICE):
+        joined, alone = [], []
+        for part in fresh:
+            (joined if _one_match(part) else alone).append(part)
+        for start, stop in in_slices(joined, [len(part) + 1 for part in joined], CALL):
             encoded = self.tokenizer.encode(" ".join(joined[start:stop]), add_special_tokens=False)
             numbers = np.asarray(encoded.word_ids, np.int64)
             if numbers[-1] + 1 != stop - start:  # a letter that lower case takes apart
@@ -131,7 +140,7 @@ class WordBpe:
             for part, a, b in zip(joined[start:stop], cuts, cuts[1:]):
                 self.parts[part] = ids[a:b]
         for part in alone:
-            self.parts[part] = self._whole(part)
+            self.parts[part] = np.asarray(self.tokenizer.encode(part, add_special_tokens=False).ids, STORED).tobytes()
 
 
 @functools.lru_cache(maxsize=2)
@@ -192,23 +201,20 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = loaded(path)
-        closing = np.asarray([CLOSING_ID], STORED).tobytes()
+        closing = np.asarray([CLOSING_ID], STORED)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, stop in in_slices(texts, [len(t) for t in texts], 4 * SLICE):
-                ids = [row + closing for row in codec.encode(texts[start:stop])]
-                points = np.array([projected(np.frombuffer(row, STORED)) for row in ids])
-                part = batch.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("row_id"),
-                        part.column("doc_id"),
-                        pa.array(hilbert_keys(points), pa.int64()),
-                        pa.array([len(row) // STORED_BYTES for row in ids], pa.int64()),
-                        pa.array(ids, pa.binary()),
-                    ],
-                    ["row_id", "doc_id", "curve", "n_tokens", "ids"],
-                )
+            ids = [np.append(row, closing) for row in codec.encode(batch.column("text"))]
+            points = np.array([projected(row) for row in ids]).reshape(-1, DIMENSIONS)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("row_id"),
+                    batch.column("doc_id"),
+                    pa.array(hilbert_keys(points), pa.int64()),
+                    pa.array([len(row) for row in ids], pa.int64()),
+                    pa.array([row.tobytes() for row in ids], pa.binary()),
+                ],
+                ["row_id", "doc_id", "curve", "n_tokens", "ids"],
+            )
 
     return row_numbered(docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text"))).mapInArrow(run, TOKENIZED)
 
