@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -35,16 +36,21 @@ EMPTY_RECORD = "EMPTY_RECORD"
 class Ingested:
     """Result of one ingest.
 
-    ``judged`` holds every row read, with a rejection ``reason`` or the output
-    columns and their ``hash_key``; the other tables derive from it.
-    ``screened`` has the same rows before names are resolved or stars joined:
-    where they came from, and the reason.
+    ``screened`` has every row read, where it came from and its rejection
+    ``reason``, before names are resolved or stars joined.  ``judged`` adds the
+    output columns and ``hash_key`` of accepted rows; the other tables derive
+    from it.  It is built when first asked for, because that stages the items.
     """
 
     vertical: str
-    judged: DataFrame
     columns: list[str]
     screened: DataFrame
+    finish: Callable[[], DataFrame]
+
+    @cached_property
+    def judged(self) -> DataFrame:
+        """Every row with its reason or its output columns."""
+        return self.finish()
 
     @property
     def rows(self) -> DataFrame:
@@ -135,14 +141,20 @@ def _resolved(judged: DataFrame, name: str, known: Dictionary, mode: str, vertic
     return resolve_entities(named, "raw_name", ARRIVAL, known, mode)
 
 
-def _finish(
-    vertical: str, judged: DataFrame, done: DataFrame, added: dict[str, Column], columns: list[str]
+def _ingested(
+    vertical: str, judged: DataFrame, complete: Callable[[], tuple[DataFrame, dict[str, Column]]], columns: list[str]
 ) -> Ingested:
-    # What the mapping log needs travels with the judged rows; rejected rows keep only their reason.
-    logged = ["raw_name", "canonical_name", "method", "confidence"] if "method" in done.columns else []
-    made = [_accepted(added.get(c, F.col(c))).alias(c) for c in [*columns, *logged]]
+    """An ingest of judged rows; ``complete`` adds what the output columns need."""
     told = [*ARRIVAL, "reason", F.lit(vertical).alias("vertical")]
-    return Ingested(vertical, done.select(*told, *made), columns, judged.select(*told))
+
+    def finish() -> DataFrame:
+        done, added = complete()
+        # What the mapping log needs travels with the judged rows; rejected rows keep only their reason.
+        logged = ["raw_name", "canonical_name", "method", "confidence"] if "method" in done.columns else []
+        made = [_accepted(added.get(c, F.col(c))).alias(c) for c in [*columns, *logged]]
+        return done.select(*told, *made)
+
+    return Ingested(vertical, columns, judged.select(*told), finish)
 
 
 def ingest_startups(landed: DataFrame, known: Dictionary, collected_at: Column, mode: str = "folded",
@@ -151,15 +163,19 @@ def ingest_startups(landed: DataFrame, known: Dictionary, collected_at: Column,
     items = items_of(landed, "startups", sources)
     judged = _judge(items, required(login=F.col("login"), url=F.col("url")))
     judged = limited(judged, limit)
-    resolved = _resolved(judged, "login", known, mode, "startups")
-    added = _common("STARTUP", F.lit(fixed.STARTUP_SOURCE), F.col("url"), collected_at) | {
-        "entity_name": F.col("canonical_name"),
-        "employee_count": F.lit(None).cast("int"),
-        "hash_key": record_key("startup", F.col("canonical_name"), F.col("url")),
-    }
+
+    def complete() -> tuple[DataFrame, dict[str, Column]]:
+        resolved = _resolved(judged, "login", known, mode, "startups")
+        added = _common("STARTUP", F.lit(fixed.STARTUP_SOURCE), F.col("url"), collected_at) | {
+            "entity_name": F.col("canonical_name"),
+            "employee_count": F.lit(None).cast("int"),
+            "hash_key": record_key("startup", F.col("canonical_name"), F.col("url")),
+        }
+        return resolved, added
+
     columns = ["hash_key", "schema_version", "record_type", "source_name", "source_url", "entity_name",
                "employee_count", "collected_at"]
-    return _finish("startups", judged, resolved, added, columns)
+    return _ingested("startups", judged, complete, columns)
 
 
 def split_model_id(model_id: Column) -> tuple[Column, Column]:
@@ -179,15 +195,19 @@ def ingest_products(landed: DataFrame, known: Dictionary, collected_at: Column,
     url = F.concat(F.lit(fixed.MODEL_SITE_PREFIX), F.col("model_id"))
     judged = _judge(items, missing, owner=owner, product=product, url=url)
     judged = limited(judged, limit)
-    resolved = _resolved(judged, "owner", known, mode, "products")
-    added = _common("PRODUCT", F.lit(fixed.PRODUCT_SOURCE), F.col("url"), collected_at) | {
-        "startup_name": F.col("canonical_name"),
-        "pricing_model": F.lit(fixed.PRICING_MODELS[0]),
-        "hash_key": record_key("product", F.col("canonical_name"), F.col("url")),
-    }
+
+    def complete() -> tuple[DataFrame, dict[str, Column]]:
+        resolved = _resolved(judged, "owner", known, mode, "products")
+        added = _common("PRODUCT", F.lit(fixed.PRODUCT_SOURCE), F.col("url"), collected_at) | {
+            "startup_name": F.col("canonical_name"),
+            "pricing_model": F.lit(fixed.PRICING_MODELS[0]),
+            "hash_key": record_key("product", F.col("canonical_name"), F.col("url")),
+        }
+        return resolved, added
+
     columns = ["hash_key", "schema_version", "record_type", "source_name", "source_url", "startup_name",
                "pricing_model", "collected_at"]
-    return _finish("products", judged, resolved, added, columns)
+    return _ingested("products", judged, complete, columns)
 
 
 def ingest_papers(landed: DataFrame, repo_stats: DataFrame, collected_at: Column, limit: int | None = None,
@@ -199,22 +219,26 @@ def ingest_papers(landed: DataFrame, repo_stats: DataFrame, collected_at: Column
     empty = F.when(F.col("is_empty"), F.lit(EMPTY_RECORD))
     judged = _judge(items, empty, published_date=published)
     judged = limited(judged, limit)
-    judged = staged(judged.withColumn("github_url", _accepted(repo_url(F.col("repo")))), "items-papers")
-    starred = with_stars(judged, "github_url", "own_stars", repo_stats, ARRIVAL)
-    paper_url = F.when(F.coalesce("paper_id", F.lit("")) == "", F.lit("")).otherwise(
-        F.concat(F.lit(fixed.ABSTRACT_PREFIX), F.col("paper_id"))
-    )
-    added = {
-        "schema_version": F.lit(fixed.SCHEMA_VERSION),
-        "record_type": F.lit("RESEARCH_PAPER"),
-        "paper_url": paper_url,
-        "github_stars": F.col("stars"),
-        "collected_at": collected_at,
-        "hash_key": record_key("paper", F.col("title"), paper_url),
-    }
+
+    def complete() -> tuple[DataFrame, dict[str, Column]]:
+        linked = staged(judged.withColumn("github_url", _accepted(repo_url(F.col("repo")))), "items-papers")
+        starred = with_stars(linked, "github_url", "own_stars", repo_stats, ARRIVAL)
+        paper_url = F.when(F.coalesce("paper_id", F.lit("")) == "", F.lit("")).otherwise(
+            F.concat(F.lit(fixed.ABSTRACT_PREFIX), F.col("paper_id"))
+        )
+        added = {
+            "schema_version": F.lit(fixed.SCHEMA_VERSION),
+            "record_type": F.lit("RESEARCH_PAPER"),
+            "paper_url": paper_url,
+            "github_stars": F.col("stars"),
+            "collected_at": collected_at,
+            "hash_key": record_key("paper", F.col("title"), paper_url),
+        }
+        return starred, added
+
     columns = ["hash_key", "schema_version", "record_type", "title", "authors", "paper_url", "github_url",
                "github_stars", "published_date", "collected_at"]
-    return _finish("research_papers", judged, starred, added, columns)
+    return _ingested("research_papers", judged, complete, columns)
 
 
 def _dated(items: DataFrame, needed: Column, ts: Column, ref: Column) -> DataFrame:
@@ -232,16 +256,20 @@ def ingest_news(landed: DataFrame, ref: Column, collected_at: Column, limit: int
     ts = publication_time(ref, feed=F.col("published_text"))["ts"]
     judged = _dated(items, needed, ts, ref)
     judged = limited(judged, limit)
-    # Only accepted pages are handed to the parser.
-    summary = clean_html(_accepted(F.col("body")), fixed.MAX_SUMMARY_CHARS)
-    added = _common("NEWS", F.col("recorded"), F.col("url"), collected_at) | {
-        "published_date": iso_utc(F.col("published_ts")),
-        "summary": summary,
-        "hash_key": record_key("news", F.col("title"), F.col("url")),
-    }
+
+    def complete() -> tuple[DataFrame, dict[str, Column]]:
+        # Only accepted pages are handed to the parser.
+        summary = clean_html(_accepted(F.col("body")), fixed.MAX_SUMMARY_CHARS)
+        added = _common("NEWS", F.col("recorded"), F.col("url"), collected_at) | {
+            "published_date": iso_utc(F.col("published_ts")),
+            "summary": summary,
+            "hash_key": record_key("news", F.col("title"), F.col("url")),
+        }
+        return judged, added
+
     columns = ["hash_key", "schema_version", "record_type", "source_name", "source_url", "title",
                "published_date", "summary", "collected_at"]
-    return _finish("news", judged, judged, added, columns)
+    return _ingested("news", judged, complete, columns)
 
 
 def ingest_jobs(landed: DataFrame, known: Dictionary, ref: Column, collected_at: Column, mode: str = "folded",
@@ -254,17 +282,21 @@ def ingest_jobs(landed: DataFrame, known: Dictionary, ref: Column, collected_at:
     ts = epoch_or_text(F.col("published_text"), ref)
     judged = _dated(items, F.coalesce(off_topic, needed), ts, ref)
     judged = limited(judged, limit)
-    resolved = _resolved(judged, "company", known, mode, "jobs")
-    url = F.coalesce("url", F.lit(""))
-    added = _common("JOB", F.col("recorded"), url, collected_at) | {
-        "company": F.col("canonical_name"),
-        "published_date": iso_utc(F.col("published_ts")),
-        "role_family": F.lit(fixed.ROLE_FAMILY),
-        "hash_key": record_key("job", F.col("canonical_name"), url),
-    }
+
+    def complete() -> tuple[DataFrame, dict[str, Column]]:
+        resolved = _resolved(judged, "company", known, mode, "jobs")
+        url = F.coalesce("url", F.lit(""))
+        added = _common("JOB", F.col("recorded"), url, collected_at) | {
+            "company": F.col("canonical_name"),
+            "published_date": iso_utc(F.col("published_ts")),
+            "role_family": F.lit(fixed.ROLE_FAMILY),
+            "hash_key": record_key("job", F.col("canonical_name"), url),
+        }
+        return resolved, added
+
     columns = ["hash_key", "schema_version", "record_type", "source_name", "source_url", "company",
                "published_date", "is_remote", "role_family", "collected_at"]
-    return _finish("jobs", judged, resolved, added, columns)
+    return _ingested("jobs", judged, complete, columns)
 
 
 def extract_pages(df: DataFrame, page: str, ref: Column) -> DataFrame:
@@ -323,7 +355,7 @@ def run_vertical(ingested: Ingested, root: str) -> dict[str, int]:
     and rejected counts.
     """
     judged = staged(ingested.judged, f"judged-{ingested.vertical}")
-    done = Ingested(ingested.vertical, judged, ingested.columns, judged)
+    done = Ingested(ingested.vertical, ingested.columns, judged, lambda: judged)
     counts = upsert(judged.where("reason is null").select(*ARRIVAL, *done.columns), f"{root}/{done.vertical}", "hash_key", ARRIVAL)
     rejected = done.quarantine.select(*ARRIVAL, "vertical", "reason")
     rejected.write.mode("append").partitionBy("vertical", "reason").parquet(f"{root}/quarantine")
