@@ -16,6 +16,7 @@ from brightweir.sources.registry import DISABLED_SOURCE, Source
 
 UNREADABLE = "UNREADABLE_PAYLOAD"
 UNKNOWN_SOURCE = "UNKNOWN_SOURCE"
+BAD_TYPE = "BAD_TYPE_"
 
 # Raw columns of each vertical, the same for all layouts that feed it.
 RAW_COLUMNS = {
@@ -33,7 +34,8 @@ RAW_COLUMNS = {
 class SourceSpec:
     """How the items of one payload layout become raw columns of a vertical.
 
-    Adding a board or feed layout means adding one spec.
+    Adding a board or feed layout means adding one spec.  Typed fields are read
+    as text and cast in ``fields``; ``bad_type`` names one that does not fit.
     """
 
     vertical: str
@@ -67,9 +69,15 @@ def _raw_items(spec: SourceSpec) -> Column:
         items = F.filter(items, lambda _, i: i >= spec.skip)
 
     def raw(item: Column) -> Column:
-        return F.struct(*[c.alias(name) for name, c in spec.fields(item).items()])
+        fields = spec.fields(item)
+        bad_type = fields.pop("bad_type", F.lit(None))
+        return F.struct(*[c.alias(name) for name, c in fields.items()], bad_type.alias("bad_type"))
 
-    return F.transform(items, raw).cast(f"array<struct<{RAW_COLUMNS[spec.vertical]}>>")
+    return F.transform(items, raw).cast(_raw_type(spec.vertical))
+
+
+def _raw_type(vertical: str) -> str:
+    return f"array<struct<{RAW_COLUMNS[vertical]},bad_type:string>>"
 
 
 def parse_items(landed: DataFrame, layouts: dict[str, SourceSpec], sources: Sequence[Source]) -> DataFrame:
@@ -102,13 +110,14 @@ def parse_items(landed: DataFrame, layouts: dict[str, SourceSpec], sources: Sequ
         F.when(F.col("recorded").isNull(), F.lit(UNKNOWN_SOURCE)),
         F.when(F.col("source").isin(off), F.lit(DISABLED_SOURCE)) if off else F.lit(None),
         F.when(F.col("item").isNull(), F.lit(UNREADABLE)),
+        F.concat(F.lit(BAD_TYPE), F.upper("item.bad_type")),
     )
     return exploded.where("pos is not null").select(
         "source_rank", "source", "page", "pos", "recorded", fault.alias("fault"), "item.*"
-    )
+    ).drop("bad_type")
 
 
 def _nothing(layouts: dict[str, SourceSpec]) -> Column:
     # A list of one null item: stands for a page that cannot be read.
     vertical = next(iter(layouts.values())).vertical
-    return F.array(F.lit(None)).cast(f"array<struct<{RAW_COLUMNS[vertical]}>>")
+    return F.array(F.lit(None)).cast(_raw_type(vertical))

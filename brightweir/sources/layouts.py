@@ -13,6 +13,16 @@ from brightweir.operators.validate import topical
 from brightweir.sources.landing import SourceSpec
 
 
+def _bad_type(**fits: tuple[Column, Column]) -> Column:
+    """Name of the first field whose text is there and does not fit its type, else null."""
+    return F.coalesce(*[F.when(text.isNotNull() & ~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, (text, ok) in fits.items()], F.lit(None))
+
+
+def _list(text: Column, item: str) -> Column:
+    """A JSON array kept as text; null if it is none."""
+    return F.when(strip(text).startswith("["), F.from_json(text, f"array<{item}>"))
+
+
 def _organisations(item: Column) -> dict[str, Column]:
     return {"login": strip(item["login"]), "url": strip(item["html_url"])}
 
@@ -22,20 +32,25 @@ def _models(item: Column) -> dict[str, Column]:
 
 
 def _papers(item: Column) -> dict[str, Column]:
-    paper = item["paper"]
-    known = ("id", "title", "authors", "publishedAt", "githubRepo", "githubStars")
-    named = F.filter(paper["authors"], lambda a: F.coalesce(a["name"], F.lit("")) != "")
-    nothing = F.lit(True)
-    for field in known:
-        nothing = nothing & paper[field].isNull()
+    paper = F.from_json(item["paper"], _PAPER)
+    authors = _list(paper["authors"], "struct<name:string>")
+    named = F.filter(authors, lambda a: F.coalesce(a["name"], F.lit("")) != "")
+    stars = paper["githubStars"].try_cast("int")
+    # Fields that are not known make a record too, as long as there is one.
+    nothing = F.coalesce(F.rlike(item["paper"], F.lit(r"^\s*(\{\s*\}|null)\s*$")), F.lit(True))
     return {
+        "bad_type": _bad_type(
+            paper=(item["paper"], F.rlike(item["paper"], F.lit(r"^\s*(\{|null)"))),
+            authors=(paper["authors"], authors.isNotNull()),
+            githubStars=(paper["githubStars"], stars.isNotNull()),
+        ),
         "is_empty": nothing,
         "paper_id": paper["id"],
         "title": F.coalesce(first_filled(paper["title"], item["title"]), F.lit(fixed.UNTITLED_PAPER)),
         "authors": F.coalesce(F.transform(named, lambda a: strip(a["name"])), F.array().cast("array<string>")),
         "published_text": F.coalesce(first_filled(paper["publishedAt"], item["publishedAt"]), F.lit("")),
         "repo": paper["githubRepo"],
-        "own_stars": paper["githubStars"],
+        "own_stars": stars,
     }
 
 
@@ -100,15 +115,19 @@ def _board_d(item: Column) -> dict[str, Column]:
 
 
 def _board_e(item: Column) -> dict[str, Column]:
-    return _job(
+    tags = _list(item["tags"], "string")
+    remote = F.when(item["remote"].isin("true", "false"), item["remote"] == "true")
+    fields = _job(
         strip(item["company_name"]),
         strip(item["url"]),
         item["created_at"],
-        F.coalesce(item["remote"], F.lit(True)),
-        topical(item["tags"], item["title"]),
+        F.coalesce(remote, F.lit(True)),
+        topical(tags, item["title"]),
     )
+    return fields | {"bad_type": _bad_type(tags=(item["tags"], tags.isNotNull()), remote=(item["remote"], remote.isNotNull()))}
 
 
+_PAPER = "id string,title string,authors string,publishedAt string,githubRepo string,githubStars string"
 _MARKED = "struct<_VALUE:string,_type:string>"
 _LINK = "struct<_VALUE:string,_href:string>"
 
@@ -120,8 +139,7 @@ LAYOUTS = {
     "papers": SourceSpec(
         "papers",
         "json",
-        "array<struct<paper:struct<id:string,title:string,authors:array<struct<name:string>>,"
-        "publishedAt:string,githubRepo:string,githubStars:int>,title:string,publishedAt:string>>",
+        "array<struct<paper:string,title:string,publishedAt:string>>",
         "",
         _papers,
     ),
@@ -159,8 +177,7 @@ LAYOUTS = {
     "board_e": SourceSpec(
         "jobs",
         "json",
-        "data array<struct<created_at:string,company_name:string,url:string,tags:array<string>,"
-        "title:string,remote:boolean>>",
+        "data array<struct<created_at:string,company_name:string,url:string,tags:string,title:string,remote:string>>",
         "data",
         _board_e,
     ),

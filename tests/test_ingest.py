@@ -172,6 +172,21 @@ def test_no_page_vanishes(spark):
     assert (metrics.discovered, metrics.valid, metrics.duplicates, metrics.rejected) == (6, 1, 0, 5)
 
 
+def test_wrong_types_are_quarantined(spark):
+    papers = [{"paper": {"id": "1", "githubStars": "many"}}, {"paper": {"id": "2", "authors": "z"}}, {"paper": {"id": "3", "other": 1}},
+              {"paper": {"other": 1}}, {"paper": {"id": "4", "githubStars": "7", "authors": []}}, {"paper": {"id": "5", "authors": {"name": "n"}}}, {"paper": 5}]
+    stars = spark.createDataFrame([], "repo_key string, stars long")
+    done = verticals.ingest_papers(_landed(spark, [("Papers With Code", 0, json.dumps(papers))]), stars, F.lit(COLLECTED))
+    assert _reasons(done) == {"BAD_TYPE_GITHUBSTARS": 1, "BAD_TYPE_AUTHORS": 2, "BAD_TYPE_PAPER": 1}
+    assert {(r.paper_url, r.github_stars) for r in done.rows.collect()} >= {(fixed.ABSTRACT_PREFIX + "3", None), (fixed.ABSTRACT_PREFIX + "4", 7)}
+    post = {"created_at": 1789200000, "company_name": "Groq", "url": "u", "title": "AI"}
+    posts = [post | {"remote": "yes"}, post | {"remote": False, "tags": None}, post | {"tags": "ops"}, post | {"tags": [1, "x"], "remote": None}]
+    landed = _landed(spark, [("Arbeitnow AI", 0, json.dumps({"data": posts}))])
+    done = verticals.ingest_jobs(landed, _known(spark), reference(REF), F.lit(COLLECTED))
+    assert _reasons(done) == {"BAD_TYPE_REMOTE": 1, "BAD_TYPE_TAGS": 1}
+    assert done.judged.where("reason is null").count() == 2
+
+
 def test_sources_arrive_in_the_order_of_the_registry(spark):
     # Of equal keys the one of the earlier source wins, then the lower page by number.
     item = '{"jobs": [{"%s": "2026-09-12T08:00:00", "%s": "Acme", "url": "u"}]}'
