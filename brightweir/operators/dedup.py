@@ -45,6 +45,11 @@ def new_rows(df: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
     return df.join(ledger.select(key), key, "left_anti")
 
 
+def _held(ledger: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """The keys of a ledger that a batch has too; the ledger is not shuffled while the counted batch is small."""
+    return ledger.select(key).join(small_or_shuffled(rows.select(key).distinct()), key, "left_semi")
+
+
 def append_new(rows: DataFrame, path: str, key: str, partition_by: Sequence[str] = ()) -> None:
     """Append rows with distinct keys that the table does not hold yet.
 
@@ -54,15 +59,14 @@ def append_new(rows: DataFrame, path: str, key: str, partition_by: Sequence[str]
     """
     existing = read_table(rows.sparkSession, path)
     if existing is not None:
-        held = existing.select(key).join(small_or_shuffled(rows.select(key)), key, "left_semi")
-        rows = new_rows(rows, held, key)
+        rows = new_rows(rows, _held(existing, rows, key), key)
     rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def unseen_urls(df: DataFrame, url: str, ledger: DataFrame) -> DataFrame:
     """Rows whose canonical URL has not been processed yet."""
     keyed = df.withColumn("url_hash", url_key(F.col(url)))
-    return new_rows(keyed, ledger, "url_hash")
+    return new_rows(keyed, _held(ledger, keyed, "url_hash"), "url_hash")
 
 
 def url_ledger(df: DataFrame, url: str, source: Column, processed_at: Column, order: Sequence[str]) -> DataFrame:

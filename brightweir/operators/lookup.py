@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key that holds more than one in HOT_SHARE rows is spread over WAYS tasks.
-# At most HOT_SHARE keys can do so, which bounds what is broadcast.
+# A key that holds more than one in HOT_SHARE rows is spread, so that each part
+# holds about that share.  At most HOT_SHARE keys can do so, which bounds what is
+# broadcast, and the parts of all of them together are at most twice as many.
 HOT_SHARE = 1000
-WAYS = 32
 # Rows up to which a dimension is sent to every executor.
 BROADCAST_ROWS = 100_000
 
@@ -42,20 +42,25 @@ def spread_lookup(
 
     ``dimension`` has one row per key, with ``n_rows``: how often the key occurs
     in ``df`` (see ``key_counts``).  Rows of a hot key, and rows without a key,
-    are spread by a hash of ``spread_by``; the dimension rows of hot keys are
-    repeated to match.  A costly dimension is planned once if ``counts`` gives
+    are spread by a hash of ``spread_by``, the more ways the more rows there are;
+    the dimension rows of hot keys are repeated to match.  A costly dimension is planned once if ``counts`` gives
     the keys and ``n_rows`` apart from it.
     """
     counts = dimension if counts is None else counts
     total = counts.agg(F.sum("n_rows")).scalar()
-    is_hot = F.col("n_rows") * HOT_SHARE > total
-    hot = counts.where(is_hot).select(key, F.lit(True).alias("is_hot"))
-    judged = dimension.withColumn("is_hot", is_hot)
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(WAYS)).cast("int")
+    # 1 for other keys; a share is rounded up, so a hot key has two ways at least.
+    ways = F.greatest(F.lit(1), F.ceil(F.col("n_rows") * HOT_SHARE / total)).cast("int")
+    hot = counts.select(key, ways.alias("ways")).where("ways > 1")
+    spread = F.pmod(F.xxhash64(*spread_by), F.coalesce("ways", F.lit(HOT_SHARE))).cast("int")
 
     left = df.join(F.broadcast(hot), key, "left").withColumn(
-        "salt", F.when(F.col("is_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0))
+        "salt", F.when(F.col("ways").isNotNull() | F.col(key).isNull(), spread).otherwise(F.lit(0))
     )
-    ways = F.when(F.col("is_hot"), F.lit(WAYS - 1)).otherwise(F.lit(0))
-    right = judged.withColumn("salt", F.explode(F.sequence(F.lit(0), ways))).drop("is_hot", "n_rows")
-    return left.drop("is_hot").join(right, [key, "salt"], "left").drop("salt")
+    right = dimension.withColumn("salt", F.explode(F.sequence(F.lit(0), ways - 1))).drop("n_rows")
+    return left.drop("ways").join(right, [key, "salt"], "left").drop("salt")
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    """Partitions for few bytes that mean much work: as configured, and one per core at least."""
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -23,7 +23,7 @@ from brightweir.functions.names import (
     without_accents,
 )
 from brightweir.functions.text import is_blank, strip
-from brightweir.operators.lookup import BROADCAST_ROWS, computed_once, key_counts, spread_lookup
+from brightweir.operators.lookup import BROADCAST_ROWS, computed_once, key_counts, shuffle_partitions, spread_lookup
 
 # Canonical names up to this many are compared as one literal list; a longer
 # dictionary is matched by an equi-join on shared pieces.
@@ -190,9 +190,9 @@ def fuzzy_matches(
     ``names`` has a column ``normal``.  The result has ``normal``, ``best_name``
     and the unrounded ``best_score``.
     """
-    # Few bytes but much work per name: one task per core, whatever the size.
-    cores = names.sparkSession.sparkContext.defaultParallelism
-    distinct = names.select("normal").where("normal <> ''").repartition(cores, "normal").distinct()
+    # Few bytes but much work per name: not to be merged by size.
+    parts = shuffle_partitions(names)
+    distinct = names.select("normal").where("normal <> ''").repartition(parts, "normal").distinct()
     if len(known.names) <= LITERAL_CANONICALS:
         return _best_of_literal(distinct, known, mode, floor)
     return _best_of_pieces(distinct, known, mode, floor)

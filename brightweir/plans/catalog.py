@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brightweir import fixed_values as fixed
 from brightweir.functions import dates, html, keys, names, text, urls
-from brightweir.operators import chunking, dedup, enrich, extraction, freshness, relations, report, resolve, validate
+from brightweir.operators import chunking, dedup, enrich, extraction, freshness, lookup, relations, report, resolve, validate
 from brightweir.plans import verticals, workload as w
 from brightweir.session import configure, scratch_path
 from brightweir.sinks import export
@@ -257,7 +257,7 @@ def token_sort_similarity(spark, sf_dir):
         F.lower(F.concat_ws(" ", "p_type", "p_name")).alias("a"), F.lower(F.concat_ws(" ", "p_name", "p_brand")).alias("b")
     )
     # Repartitioning on the pair serves the distinct and gives every core a share of the scoring.
-    pairs = pairs.repartition(spark.sparkContext.defaultParallelism, "a", "b").distinct()
+    pairs = pairs.repartition(lookup.shuffle_partitions(pairs), "a", "b").distinct()
     return pairs.withColumn("score", F.round(names.token_similarity(F.col("a"), F.col("b")), 6))
 
 
