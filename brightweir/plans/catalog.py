@@ -508,6 +508,63 @@ def schema_validate(spark, sf_dir):
     return nested.select("p_partkey", F.array_join(failed, ",").alias("failed"))
 
 
+def _records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Nested records of a kind over ``part``, with faults planted by its key."""
+    k, name = F.col("p_partkey"), F.when(F.col("p_partkey") % 7 != 0, F.col("p_name"))
+    source, url = F.when(k % 17 != 0, F.lit("list")), F.when(k % 13 != 0, F.concat(F.lit("u"), k))
+    day = F.when(k % 5 != 0, F.lit("2024-01-02"))
+    number = F.when(k % 6 == 0, F.lit("many")).when(k % 6 > 1, k.cast("string"))
+    content = {
+        "STARTUP": {"entityName": name, "data": F.struct(number.alias("employeeCount"))},
+        "PRODUCT": {"startupName": name, "pricingModel": F.when(k % 5 == 0, F.lit("CHEAP")).otherwise(F.lit("FREE"))},
+        "RESEARCH_PAPER": {
+            "title": name, "authors": F.array("p_brand", "p_type"), "paper_url": F.concat(F.lit("p"), k),
+            "github_url": url, "github_stars": number, "published_date": day,
+        },
+        "JOB": {
+            "company": name, "date": day, "is_remote": F.when(k % 4 == 0, F.lit("maybe")).otherwise(F.lit("true")),
+            "role_family": F.lit(fixed.ROLE_FAMILY),
+        },
+        "NEWS": {"title": name, "published_date": day, "summary": F.col("p_type")},
+    }[kind]
+    return w.table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.when(k % 11 == 0, F.lit("INVALID_TYPE")).otherwise(F.lit(kind)).alias("recordType"),
+        F.struct(source.alias("name"), url.alias("url")).alias("source"),
+        source.alias("source_name"),
+        url.alias("source_url"),
+        F.struct(*[c.alias(field) for field, c in content.items()]).alias("content"),
+    )
+
+
+@query
+def schema_validate_kinds(spark, sf_dir):
+    """The contract of every record kind."""
+    parts = [
+        _records(spark, sf_dir, kind).select(
+            "p_partkey",
+            F.lit(kind).alias("kind"),
+            F.array_join(validate.failed_rules(validate.record_rules(kind)), ",").alias("failed"),
+        )
+        for kind in verticals.FLAT_COLUMNS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def flatten_kinds(spark, sf_dir):
+    """The flat columns of every record kind, in order, as one text."""
+
+    def flat(kind: str) -> DataFrame:
+        columns = [
+            F.coalesce(F.array_join(path, ",") if name == "authors" else F.col(path).cast("string"), F.lit(""))
+            for name, path in verticals.FLAT_COLUMNS[kind].items()
+        ]
+        return _records(spark, sf_dir, kind).select("p_partkey", F.lit(kind).alias("kind"), F.concat_ws("|", *columns).alias("flat"))
+
+    return reduce(DataFrame.unionByName, map(flat, verticals.FLAT_COLUMNS))
+
+
 @query
 def star_enrichment(spark, sf_dir):
     repos = w.derived(spark, sf_dir, w.repo_addresses).withColumn("full_repo", urls.repo_url(F.col("repo")))

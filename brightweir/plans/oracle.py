@@ -447,6 +447,35 @@ def statements() -> dict[str, str]:
         when 3 then 'ENTERPRISE' else 'CHEAP' end as pricing, case when p_partkey % 13 = 0 then null else 'u' || p_partkey end as url from part)
         select p_partkey, array_to_string(list_filter([case when rt <> 'PRODUCT' then 'recordType' end, case when url is null then 'source.url' end,
         case when name is null then 'content.startupName' end, case when pricing = 'CHEAP' then 'content.pricingModel' end], lambda x: x is not null), ',') as failed from r"""
+    parts = """p as (select p_partkey, p_partkey % 11 = 0 as bad_type, case when p_partkey % 17 <> 0 then 'list' end as source,
+        case when p_partkey % 13 <> 0 then 'u' || p_partkey end as url, case when p_partkey % 7 <> 0 then p_name end as name,
+        case when p_partkey % 5 <> 0 then '2024-01-02' end as day, p_partkey % 6 = 0 as bad_number,
+        case when p_partkey % 6 = 0 then 'many' when p_partkey % 6 > 1 then p_partkey::varchar end as number,
+        case when p_partkey % 5 = 0 then 'CHEAP' else 'FREE' end as pricing, p_brand, p_type,
+        case when p_partkey % 4 = 0 then 'maybe' else 'true' end as remote from part)"""
+    from_source = [("source is null", "source.name"), ("url is null", "source.url")]
+    faults = {
+        "STARTUP": [*from_source, ("name is null", "content.entityName"), ("bad_number", "content.data.employeeCount")],
+        "PRODUCT": [*from_source, ("name is null", "content.startupName"), ("pricing = 'CHEAP'", "content.pricingModel")],
+        "RESEARCH_PAPER": [("name is null", "content.title"), ("day is null", "content.published_date"), ("bad_number", "content.github_stars")],
+        "JOB": [("url is null", "source_url"), ("source is null", "source_name"), ("name is null", "content.company"),
+                ("day is null", "content.date"), ("remote = 'maybe'", "content.is_remote")],
+        "NEWS": [*from_source, ("name is null", "content.title"), ("day is null", "content.published_date")],
+    }
+    told = {kind: ", ".join(f"case when {c} then '{rule}' end" for c, rule in [("bad_type", "recordType"), *rules]) for kind, rules in faults.items()}
+    sql["schema_validate_kinds"] = f"with {parts} " + " union all ".join(
+        f"select p_partkey, '{kind}' as kind, array_to_string(list_filter([{cases}], lambda x: x is not null), ',') as failed from p"
+        for kind, cases in told.items())
+    flat = {
+        "STARTUP": ["source", "url", "name", "number"],
+        "PRODUCT": ["source", "url", "name", "pricing"],
+        "RESEARCH_PAPER": ["name", "p_brand || ',' || p_type", "'p' || p_partkey", "url", "number", "day"],
+        "JOB": ["source", "url", "name", "day", "remote", f"'{fixed.ROLE_FAMILY}'"],
+        "NEWS": ["source", "url", "name", "day", "p_type"],
+    }
+    sql["flatten_kinds"] = f"with {parts} " + " union all ".join(
+        f"select p_partkey, '{kind}' as kind, " + " || '|' || ".join(f"coalesce({c}, '')" for c in columns) + " as flat from p"
+        for kind, columns in flat.items())
     sql["star_enrichment"] = f"""with r as ({w.duck(w.repo_addresses)}), s as ({w.duck(w.repo_stats)}),
         kk as (select *, case when repo like 'http%' then repo else 'https://github.com/' || repo end as full_repo from r),
         x as (select *, case when lower(full_repo) like '%github.com/%' then
