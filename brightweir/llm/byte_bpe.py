@@ -51,11 +51,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def as_characters(token: bytes) -> str:
-    table = byte_table()
-    return "".join(table[b] for b in token)
-
-
 def build_tokenizer(ranks: dict[bytes, int], pattern: str) -> Tokenizer:
     """The library's tokenizer that gives the ids of the ranks."""
     table = byte_table()

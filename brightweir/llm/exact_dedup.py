@@ -15,8 +15,6 @@ A null text counts as empty; an empty table gives an empty result.  Only
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
