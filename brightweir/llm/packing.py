@@ -16,7 +16,6 @@ Only ``doc_id`` and the text are read, so other columns may have any name.
 from __future__ import annotations
 
 import functools
-import itertools
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
