@@ -7,14 +7,19 @@ predicted from up to ``ORDER`` characters before it, each order smoothed by the
 next lower one.  The difference of the log-likelihoods per character is held
 against the threshold that gives even odds on URLs the models were not trained on.
 
-The models learn from all URLs that a rule decides, each counted once.  Counts
-are summed in Spark into tables of a fixed number of slots, so their size is
-bounded whatever the input.
+The models see the whole URL.  They learn from all URLs that a rule decides, each
+counted once, less a fifth that sets the threshold.  Counts are exact: a character
+and the ``ORDER`` before it fit into one number, and the counts of these numbers
+are a Spark table that grows with the URLs.  Shorter contexts are sums over it.
+At most 256 rows of a table share a context or the next shorter gram, so each
+order is joined to the one below without hot keys; then the distinct URLs are
+joined with the chances of their grams, frequent grams spread.  Scores are summed
+as whole numbers, so they do not depend on the order of the rows.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path
-and fits no rule; the models see an empty text there and judge by the threshold
-alone.  Repeated rows get the same result, null ids pass through.  If no rule
-accepts or none rejects, the models allow.  An empty table gives an empty
+and fits no rule; the models see an empty text for null, which is judged by the
+threshold alone.  Repeated rows get the same result, null ids pass through.  If no
+rule accepts or none rejects, the models allow.  An empty table gives an empty
 result.  Only ``page_id`` and ``url`` are read; other columns may have any name.
 """
 
@@ -25,9 +30,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from brightweir.llm.common import in_slices
+from brightweir.llm.common import in_slices, row_numbered, staged
+from brightweir.operators.lookup import spread_lookup
 
 ALLOW, BLOCK = "allow", "block"
 
@@ -40,16 +46,21 @@ RULES = {
     "com/de/": BLOCK,
 }
 
-# Characters before the predicted one, slots per table, weight of the lower
-# order, share of the URLs kept for calibration, bins and range of the scores.
+# Characters before the predicted one, weight of the lower order, share of the
+# URLs kept for calibration, bins and range of the scores.
 ORDER = 5
-SLOT_BITS = 15
-SLOTS = 1 << SLOT_BITS
 PRIOR = 4.0
 KEPT_BACK = 5
 BINS, LOW, HIGH = 400, -4.0, 4.0
+# Parts of one in which scores are summed.
+UNIT = float(1 << 40)
 # Characters handled at once.
 PIECE = 100_000
+# Slots of the tables in memory (``Model``), which the query does not use.
+SLOT_BITS = 15
+SLOTS = 1 << SLOT_BITS
+# What stands before a text; no byte of UTF-8.
+START = b"\xff"
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -75,9 +86,9 @@ def rule_for(host: Column, path: Column, rules: dict[str, str] = RULES) -> Colum
 
 
 def ruled(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
-    """Host, path, rule and the verdict of the rule."""
+    """Host, path, text for the models, rule and the verdict of the rule."""
     host, path = host_and_path(F.col("url"))
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
+    rows = pages.select("page_id", host.alias("host"), path.alias("path"), F.coalesce("url", F.lit("")).alias("text"))
     verdicts = F.create_map(*[F.lit(x) for item in rules.items() for x in item])
     return rows.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules)).withColumn("by_rule", verdicts[F.col("rule")])
 
@@ -115,11 +126,13 @@ def _slot(mixed: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Per class and order, how often each slot of contexts and of grams was seen."""
+    """Per class and order, how often each slot of contexts and of grams was seen.
+
+    The chances of ``chances`` for a few texts in memory, true where no slots clash.
+    """
 
     contexts: np.ndarray
     grams: np.ndarray
-    threshold: float = 0.0
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Log-likelihood of accepted less that of rejected, per character."""
@@ -145,51 +158,93 @@ class Model:
         return np.bincount(at.owner, weights=total, minlength=len(texts)), np.bincount(at.owner, minlength=len(texts))
 
 
-def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task: accepted or not, table (twice the order, plus one for grams), slot, count."""
-    tables: dict[tuple[int, int], np.ndarray] = {}
+def grams_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Per byte of the texts: which text has it, and it with the ``ORDER`` bytes before it as one number."""
+    data = [START * ORDER + text.encode() for text in texts]
+    lengths = np.array([len(d) for d in data], np.int64)
+    codes = np.frombuffer(b"".join(data), np.uint8).astype(np.int64)
+    inside = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    places = np.flatnonzero(inside >= ORDER)
+    grams = np.zeros(len(places), np.int64)
+    for before in range(ORDER + 1):
+        grams |= codes[places - before] << 8 * before
+    return np.repeat(np.arange(len(texts)), lengths)[places], grams
+
+
+def _grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, good = batch.column("text").to_pylist(), batch.column("good").to_pylist()
-        for kind in (0, 1):
-            chosen = [t[a : a + PIECE] for t, g in zip(texts, good) if g == bool(kind) for a in range(0, len(t), PIECE)]
-            if chosen:
-                for start, stop in in_slices(chosen, [len(t) for t in chosen], PIECE):
-                    at = Contexts.of(chosen[start:stop])
-                    for i, slots in enumerate(x for pair in zip(at.contexts, at.grams) for x in pair):
-                        found = tables.setdefault((kind, i), np.zeros(SLOTS, np.int64))
-                        found += np.bincount(slots, minlength=SLOTS)
-    for (kind, i), counts in tables.items():
-        slots = np.flatnonzero(counts)
-        columns = [np.full(len(slots), kind), np.full(len(slots), i), slots, counts[slots]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["kind", "part", "slot", "n"])
-
-
-def train(rows: DataFrame) -> Model | None:
-    """Models and threshold from all URLs that a rule decides."""
-    known = rows.where(F.col("by_rule").isNotNull()).select(
-        F.concat("host", "path").alias("text"), (F.col("by_rule") == ALLOW).alias("good")
-    )
+        texts = batch.column("text").to_pylist()
+        for start, stop in in_slices(texts, [len(t) for t in texts], PIECE):
+            owner, grams = grams_of(texts[start:stop])
+            for at in range(0, len(grams), PIECE):
+                taken = pa.array(owner[at : at + PIECE] + start)
+                columns = [batch.column("row_id").take(taken), batch.column("learned").take(taken), pa.array(grams[at : at + PIECE])]
+                yield pa.RecordBatch.from_arrays(columns, ["row_id", "learned", "gram"])
+
+
+def _shorter(gram: Column, order: int) -> Column:
+    """The end of a gram: a character and ``order`` before it."""
+    return gram.bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1))
+
+
+def chances(counts: DataFrame) -> DataFrame:
+    """Per gram ``gram`` its chance among accepted and rejected URLs, ``good`` and ``bad``.
+
+    ``counts`` has how often each gram was learned, ``n_good`` and ``n_bad``.
+    """
+    tables = [counts.select("gram", "n_good", "n_bad")]
+    for order in reversed(range(ORDER)):
+        shorter = tables[-1].groupBy(_shorter(F.col("gram"), order).alias("gram"))
+        tables.append(staged(shorter.agg(F.sum("n_good").alias("n_good"), F.sum("n_bad").alias("n_bad")), "shorter"))
+    found = None
+    for order, table in enumerate(reversed(tables)):
+        # A context has at most 256 rows, one per next byte.
+        context = Window.partitionBy(F.shiftright("gram", 8))
+        seen = table.withColumns({"seen_good": F.sum("n_good").over(context), "seen_bad": F.sum("n_bad").over(context)})
+        if found is None:
+            lower = seen.withColumns({"low_good": F.lit(1.0 / 256), "low_bad": F.lit(1.0 / 256)})
+        else:
+            below = found.select(F.col("gram").alias("end"), F.col("good").alias("low_good"), F.col("bad").alias("low_bad"))
+            lower = seen.withColumn("end", _shorter(F.col("gram"), order - 1)).join(below, "end")
+        made = [((F.col(f"n_{c}") + PRIOR * F.col(f"low_{c}")) / (F.col(f"seen_{c}") + PRIOR)).alias(c) for c in ("good", "bad")]
+        found = staged(lower.select("gram", *made), "chances")
+    return found
+
+
+def scored(rows: DataFrame) -> tuple[DataFrame, float] | None:
+    """Per distinct text its score and ``n_rows``, and the threshold; nothing if a class is missing.
+
+    The score is the log-likelihood of accepted less that of rejected, per byte.
+    """
     back = F.crc32(F.col("text").cast("binary")) % KEPT_BACK == 0
-    known = known.distinct().withColumn("back", back)
-    counts = known.where(~F.col("back")).select("text", "good").mapInArrow(_counted, "kind bigint, part bigint, slot bigint, n bigint")
-    # At most two classes, two tables per order, and SLOTS slots: bounded.
-    summed = counts.groupBy("kind", "part", "slot").agg(F.sum("n").alias("n")).toArrow()
-    kind, part, slot, n = (summed.column(c).to_numpy() for c in ("kind", "part", "slot", "n"))
-    if len(np.unique(kind)) < 2:
+    texts = rows.groupBy("text").agg(F.count(F.lit(1)).alias("n_rows"), (F.min("by_rule") == ALLOW).alias("good"))
+    texts = texts.withColumn("back", back & F.col("good").isNotNull())
+    texts = staged(row_numbered(texts.withColumn("learned", F.when(~F.col("back"), F.col("good")))), "urls")
+    grams = texts.select("row_id", "learned", "text").mapInArrow(_grams, "row_id bigint, learned boolean, gram bigint")
+    counts = grams.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("learned").alias("n_good"), F.count_if(~F.col("learned")).alias("n_bad")
+    )
+    counts = staged(counts, "grams")
+    held = counts.agg(F.sum("n_good").alias("good"), F.sum("n_bad").alias("bad")).first()
+    if not (held.good and held.bad):
         return None
-    tables = np.zeros((2, 2 * (ORDER + 1), SLOTS), np.float32)
-    tables[kind, part, slot] = n
-    model = Model(tables[:, 0::2].copy(), tables[:, 1::2].copy())
-    scored = known.where("back").select("good", _score(rows, model, F.col("text")).alias("score"))
+    gain = F.round((F.log("good") - F.log("bad")) * UNIT).cast("bigint")
+    gains = staged(chances(counts).select("gram", gain.alias("gain")).join(counts.select("gram", "n_rows"), "gram"), "gains")
+    sums = spread_lookup(grams.select("row_id", "gram"), gains, "gram", ["row_id"]).groupBy("row_id")
+    sums = sums.agg((F.sum("gain") / UNIT / F.count(F.lit(1))).alias("sum"))
+    made = texts.join(sums, "row_id", "left").withColumn("score", F.coalesce("sum", F.lit(0.0)))
+    made = staged(made.select("text", "n_rows", "good", "back", "score"), "scores")
+    return made.select("text", "n_rows", "score"), _threshold(made.where("back"))
+
+
+def _threshold(kept_back: DataFrame) -> float:
     width = (HIGH - LOW) / BINS
     bin_of = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((F.col("score") - LOW) / width))).cast("int")
-    found = scored.groupBy("good", bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
+    found = kept_back.groupBy("good", bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
     held = np.zeros((2, BINS))
     for row in found:
         held[int(row.good), row.bin] = row.n
-    if held.sum(axis=1).all():
-        model.threshold = _even_odds(held, width)
-    return model
+    return _even_odds(held, width) if held.sum(axis=1).all() else 0.0
 
 
 def _even_odds(held: np.ndarray, width: float) -> float:
@@ -215,25 +270,15 @@ def _even_odds(held: np.ndarray, width: float) -> float:
     return float(-line[1] / line[0]) if line[0] > 0 else 0.0
 
 
-def _score(rows: DataFrame, model: Model, text: Column) -> Column:
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-
-    @F.arrow_udf("double")
-    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array(shared.value.scores(batch.to_pylist()), pa.float64())
-
-    return score.asNondeterministic()(text)
-
-
 def filtered(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     """Per page its host and path, the rule that fits, and the verdict."""
     rows = ruled(pages, rules)
-    model = train(rows)
-    if model is None:
-        scored = rows.withColumn("score", F.lit(None).cast("double"))
+    found = scored(rows)
+    if found is None:
+        judged = rows.withColumn("score", F.lit(None).cast("double"))
         by_model = F.lit(ALLOW)
     else:
-        scored = rows.withColumn("score", _score(rows, model, F.concat("host", "path")))
-        by_model = F.when(F.col("score") >= model.threshold, ALLOW).otherwise(BLOCK)
-    return scored.select("page_id", "host", "path", "rule", F.coalesce("by_rule", by_model).alias("verdict"), "score")
+        scores, threshold = found
+        judged = spread_lookup(rows, scores, "text", ["page_id"])
+        by_model = F.when(F.col("score") >= threshold, ALLOW).otherwise(BLOCK)
+    return judged.select("page_id", "host", "path", "rule", F.coalesce("by_rule", by_model).alias("verdict"), "score")

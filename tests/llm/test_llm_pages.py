@@ -3,6 +3,7 @@
 import functools
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -215,3 +216,42 @@ def test_scores_are_the_smoothed_chances(monkeypatch):
     assert np.allclose(model.scores(tests), wanted, atol=1e-5)
     monkeypatch.setattr(url_filter, "PIECE", 3)
     assert np.allclose(model.scores(tests[:3]), wanted[:3], atol=1e-5)
+
+
+def test_url_scores_are_exact(spark):
+    """More grams than any table of slots held, over whole URLs; the reference counts strings."""
+    random.seed(9)
+    letters = "abcdefghijklmnopqrstuvwxyzé"
+    hosts = ["x.com/fr", "x.com/de", "y.net/a"]
+    urls = [f"http://{random.choice(hosts)}/{''.join(random.choices(letters, k=20))}?q={i % 7}" for i in range(3000)]
+    urls += ["http://y.net/same?l=fr", "http://y.net/same?l=de", None, "plain", "http://x.com/fr/\x00", urls[0], urls[0]]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.filtered(df).collect()}
+    order, start = url_filter.ORDER, b"\xff" * url_filter.ORDER
+    seen = {c: [{} for _ in range(order + 1)] for c in ("allow", "block")}
+    for u in {u for u in urls if u}:
+        rule = rule_by_hand(u)[2]
+        if rule and zlib.crc32(u.encode()) % url_filter.KEPT_BACK:
+            text = start + u.encode()
+            for i in range(order, len(text)):
+                for k in range(order + 1):
+                    table = seen[url_filter.RULES[rule]][k]
+                    for piece in (text[i - k : i], (text[i - k : i], text[i])):
+                        table[piece] = table.get(piece, 0) + 1
+    assert len(seen["allow"][order]) > url_filter.SLOTS // 2
+
+    def likelihood(text, tables):
+        total = 0.0
+        for i in range(order, len(text)):
+            p = 1 / 256
+            for k in range(order + 1):
+                context = text[i - k : i]
+                p = (tables[k].get((context, text[i]), 0) + url_filter.PRIOR * p) / (tables[k].get(context, 0) + url_filter.PRIOR)
+            total += np.log(p)
+        return total
+
+    for i, u in enumerate(urls):
+        text = start + (u or "").encode()
+        wanted = (likelihood(text, seen["allow"]) - likelihood(text, seen["block"])) / max(1, len(text) - order)
+        assert abs(got[i].score - wanted) < 1e-9
+    assert got[3000].score != got[3001].score
