@@ -5,7 +5,10 @@ a few of its pages are aligned with each other by simple tree matching, and a
 text that aligned nodes hold in nearly all pages belongs to the template.  What
 varies is a slot; slots are content unless their element says otherwise (menus,
 headers, footers, sidebars, notices, adverts, forms, reader comments, scripts).
-Where a page marks its article, only slots inside it are content.
+Where a page marks its article, only slots inside it are content.  A class or id
+says so as a whole or by its last part (``site-footer``), unless it begins like
+``no-sidebar``; those of ``html``, ``body``, ``main`` and an outer ``article`` never
+do, and those of elements around the article only where another one is left.
 
 Neighbouring elements with the same label are one node of the tree, a list of
 texts; so a tree has the size of the template, not of the text.
@@ -73,7 +76,21 @@ ENDS = {
     "th": (_TABLE_CELL, frozenset(("tr", "table"))),
 }
 
-_WORD = re.compile(r"[a-z]+")
+# Their names say how the page is laid out, not what they are.
+LAID_OUT = frozenset(("html", "body", "main"))
+LAYOUT = frozenset("no without has with not".split())
+
+_PART = re.compile(r"[a-z]+")
+
+
+def _names_noise(names: str) -> bool:
+    """Whether a class or id is a name of noise, whole or by its last part."""
+    for name in names.split():
+        parts = _PART.findall(name)
+        if parts and parts[-1] in NOISE or name in NOISE:
+            if parts[0] not in LAYOUT:
+                return True
+    return False
 
 
 class Node:
@@ -91,24 +108,25 @@ class Node:
 class _Open:
     """An open element: its name, node, and what it makes of the text inside it."""
 
-    __slots__ = ("name", "node", "noise", "article", "main")
+    __slots__ = ("name", "node", "noise", "article", "main", "sure")
 
-    def __init__(self, name: str, node: Node, noise: bool, article: bool, main: bool) -> None:
-        self.name, self.node, self.noise, self.article, self.main = name, node, noise, article, main
+    def __init__(self, name: str, node: Node, noise: bool, article: bool, main: bool, sure: bool) -> None:
+        self.name, self.node, self.noise, self.article, self.main, self.sure = name, node, noise, article, main, sure
 
 
 class Page(HTMLParser):
     """Blocks and reduced tree of a page.
 
     A block is the text between two boundaries of elements that are not inline.
-    ``blocks`` lists path, text, and whether it lies in noise, article or main.
+    ``blocks`` lists path, text, whether it lies in noise, article or main, and
+    whether in noise even if the names around an outer article or main are left out.
     """
 
     def __init__(self, html: str) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("#", 0)
-        self.open = [_Open("#", self.root, False, False, False)]
-        self.blocks: list[tuple[int, str, bool, bool, bool]] = []
+        self.open = [_Open("#", self.root, False, False, False, False)]
+        self.blocks: list[tuple[int, str, bool, bool, bool, bool]] = []
         self.text: list[str] = []
         self.feed(html)
         self.close()
@@ -126,7 +144,7 @@ class Page(HTMLParser):
             if words:
                 text, top = " ".join(words), self.open[-1]
                 top.node.texts.append(text)
-                self.blocks.append((top.node.path, text, top.noise, top.article, top.main))
+                self.blocks.append((top.node.path, text, top.noise, top.article, top.main, top.sure))
 
     def _close_to(self, depth: int) -> None:
         self._end_block()
@@ -161,16 +179,19 @@ class Page(HTMLParser):
             return
         values = {name: value or "" for name, value in attrs}
         names = " ".join(sorted(values.get("class", "").lower().split()))
-        marks = _WORD.findall(names + " " + values.get("id", "").lower())
         top = self.open[-1]
-        noise = (
-            top.noise
-            or tag in NEVER
+        main = tag in MAIN or values.get("role", "").lower() == "main"
+        outer = not (top.article or top.main and main) and (main or tag in ARTICLE)
+        own = (
+            tag in NEVER
             or (tag == "header" and not top.article)
-            or not NOISE.isdisjoint(marks)
             or values.get("role", "").lower() in NOISE_ROLES
             or "hidden" in values
         )
+        named = not (outer or tag in LAID_OUT) and _names_noise(names + " " + values.get("id", "").lower())
+        noise = top.noise or own or named
+        # Names count within an article or main, not around it.
+        sure = top.sure or own or (named and (top.article or top.main))
         if tag in INLINE and not noise:
             return
         if tag in INLINE:
@@ -180,8 +201,7 @@ class Page(HTMLParser):
         if last is None or last.label != label:
             last = Node(label, top.node.path)
             top.node.below.append(last)
-        main = top.main or tag in MAIN or values.get("role", "").lower() == "main"
-        self.open.append(_Open(tag, last, noise, top.article or tag in ARTICLE, main))
+        self.open.append(_Open(tag, last, noise, top.article or tag in ARTICLE, top.main or main, sure))
 
     def handle_endtag(self, tag: str) -> None:
         depth = self._find(frozenset((tag,)))
@@ -256,6 +276,8 @@ def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
     for wanted in (3, 4):
         if any(block[wanted] for block in blocks):
             blocks = [block for block in blocks if block[wanted]]
+            if all(block[2] for block in blocks):
+                blocks = [(path, text, sure, *_) for path, text, *_, sure in blocks]
             break
     return "\n".join(t for path, t, noise, *_ in blocks if not noise and not (template and text_key(path, t) in template))
 

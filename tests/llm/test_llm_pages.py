@@ -101,6 +101,24 @@ def test_long_and_deep_pages():
     assert induced(["<div>" * 2000 + str(i) for i in range(9)]) == []
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<body class='right-sidebar'><p>a</p><div class='sidebar'>s</div>", "a"),
+        ("<div class='content no-sidebar'><p>a</p></div>", "a"),
+        ("<article class='post social-policy'><p>a</p><div class='post-comments'>c</div></article>", "a"),
+        ("<main id='login-help'><p>a</p><div id='site_footer'>f</div></main>", "a"),
+        ("<main class='comments'><article class='share'>a</article></main>", "a"),
+        ("<div class='left-sidebar'>x<article>a<div class=ad>b</div></article></div>", "a"),
+        ("<article>a</article><div class='related'><article>t</article></div>", "a"),
+        ("<aside class='sidebar'><article>t</article></aside>", ""),
+        ("<div class='social-policy'>a</div><div class='site-nav'>n</div><div id=share2>m</div>", "a"),
+    ],
+)
+def test_names_of_layout_are_not_noise(html, text):
+    assert main_text(html) == text
+
+
 def by_pattern(html: str) -> str:
     """The article of the generated pages, which hold paragraphs, breaks and bold type only."""
     import html as entities
