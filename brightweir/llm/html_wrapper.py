@@ -1,8 +1,9 @@
 """Main text of pages by wrapper induction.
 
 Pages of one host share a template.  A wrapper is induced per host: the trees of
-a few of its pages are aligned with each other by simple tree matching, and a
-text that aligned nodes hold in nearly all pages belongs to the template.  What
+all its pages are aligned with that of one of them by simple tree matching, and a
+text that aligned nodes hold in nearly all pages belongs to the template.  Pages
+with the same blocks count once; the counts are combined in Spark.  What
 varies is a slot; slots are content unless their element says otherwise (menus,
 headers, footers, sidebars, notices, adverts, forms, reader comments, scripts).
 Where a page marks its article, only slots inside it are content.  A class or id
@@ -16,7 +17,7 @@ texts; so a tree has the size of the template, not of the text.
 Defined results: a null or empty page has the empty text; repeated rows get the
 same text, and null ids and URLs pass through (they share the host ``""``); an
 empty table gives an empty result.  A host with fewer than ``LEAST_PAGES``
-distinct pages in the sample has no template.  Only ``page_id``, ``url`` and
+distinct pages has no template.  Only ``page_id``, ``url`` and
 ``html`` are read; other columns may have any name.
 """
 
@@ -24,28 +25,31 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import lru_cache
 from html.parser import HTMLParser
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
 from brightweir.llm.common import staged
 from brightweir.llm.url_filter import host_and_path
-from brightweir.operators.lookup import small_or_shuffled, spread_lookup
+from brightweir.operators.lookup import key_counts, small_or_shuffled, spread_lookup
 
-# Pages per host in the sample, distinct ones needed, and the share of them in
-# which a text must stand at the same place to be template.
-SAMPLE_PAGES = 16
+# Distinct pages of a host that are needed, and the share of them in which a text
+# must stand at the same place to be template.
 LEAST_PAGES = 8
 CONSTANT = 0.8
 # Nodes deeper than this are not aligned.
 DEPTH = 100
-# Wrappers up to this size in all are sent to every executor.
+# Wrappers, or the pages that others are aligned with, up to this size in all are
+# sent to every executor.
 BROADCAST_BYTES = 16 << 20
 
+# Trees that pages are aligned with, held by a worker at once.
+TREES = 256
+
 # What elements are, by the HTML standard and common class names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -248,6 +252,11 @@ def text_key(path: int, text: str) -> int:
     return int.from_bytes(xxhash.xxh64_digest(text.encode("utf-8", "replace"), path), "big", signed=True)
 
 
+def aligned(reference: Node, tree: Node) -> set[int]:
+    """Keys of the texts that a page has at nodes aligned with the reference."""
+    return {text_key(a.path, text) for a, b in matched(reference, tree) for text in b.texts}
+
+
 def induced(pages: list[str]) -> list[int]:
     """The template of some pages of a host: keys of the texts that nearly all have at aligned nodes.
 
@@ -259,15 +268,9 @@ def induced(pages: list[str]) -> list[int]:
         trees.setdefault(tuple(text for _, text, *_ in page.blocks), page.root)
     if len(trees) < LEAST_PAGES:
         return []
-    reference, *others = trees.values()
-    texts: dict[int, Counter] = {}
-    for tree in (reference, *others):
-        held: dict[int, set[str]] = {}
-        for a, b in matched(reference, tree):
-            held.setdefault(a.path, set()).update(b.texts)
-        for path, found in held.items():
-            texts.setdefault(path, Counter()).update(found)
-    return sorted(text_key(p, t) for p, found in texts.items() for t, n in found.items() if n >= CONSTANT * len(trees))
+    reference = next(iter(trees.values()))
+    counts = Counter(key for tree in trees.values() for key in aligned(reference, tree))
+    return sorted(key for key, n in counts.items() if n >= CONSTANT * len(trees))
 
 
 def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
@@ -288,21 +291,63 @@ def _main_texts(pages: pa.Array, templates: pa.Array) -> pa.Array:
     return pa.array([main_text(html or "", frozenset(template or ())) for html, template in rows], pa.string())
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """Per host with a template, its keys.  ``pages`` has host, page_id and html."""
-    slot = F.pmod(F.xxhash64("page_id"), F.lit(SAMPLE_PAGES)).alias("slot")
-    drawn = pages.groupBy("host", slot).agg(F.min(F.struct(F.xxhash64("page_id").alias("draw"), "page_id")).alias("first"))
-    drawn = drawn.select(F.col("host").alias("of_host"), "slot", F.col("first.page_id").alias("drawn_id"))
-    drawn = small_or_shuffled(staged(drawn, "drawn"))
-    sample = pages.join(drawn, (F.col("page_id") == F.col("drawn_id")) & (F.col("host") == F.col("of_host")))
-    sample = sample.groupBy("host", "slot").agg(F.min("html").alias("html"))
+@lru_cache(TREES)
+def _reference(html: str) -> Node:
+    """The tree of a page, without its texts."""
+    root = Page(html).root
+    waiting = [root]
+    while waiting:
+        node = waiting.pop()
+        node.texts = []
+        waiting += node.below
+    return root
+
+
+@F.arrow_udf(StructType().add("digest", BinaryType()).add("keys", ArrayType(LongType())))
+def _aligned(pages: pa.Array, references: pa.Array) -> pa.Array:
+    digests, keys = [], []
+    for html, reference in zip(pages.to_pylist(), references.to_pylist()):
+        page = Page(html or "")
+        # No block holds a line feed.
+        blocks = "\n".join(text for _, text, *_ in page.blocks)
+        digests.append(xxhash.xxh3_128_digest(blocks.encode("utf-8", "replace")))
+        keys.append(sorted(aligned(_reference(reference), page.root)))
+    return pa.StructArray.from_arrays([pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["digest", "keys"])
+
+
+def _with_host(rows: DataFrame, dimension: DataFrame, size: Column) -> DataFrame:
+    """Left join on the host: a broadcast up to ``BROADCAST_BYTES``, else spread."""
+    if (dimension.agg(F.sum(size + F.length("host"))).first()[0] or 0) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(dimension), "host", "left")
+    return spread_lookup(rows, dimension.join(key_counts(rows, "host"), "host"), "host", ["page_id", "url"])
+
+
+def references(pages: DataFrame) -> DataFrame:
+    """Per host with rows enough for a template, the page that the others are aligned with."""
+    drawn = pages.groupBy("host").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("page_id").alias("draw"), "page_id")).alias("first")
+    )
+    drawn = drawn.where(F.col("n") >= LEAST_PAGES).select(F.col("host").alias("of_host"), F.col("first.page_id").alias("drawn_id"))
+    drawn = staged(drawn, "drawn")
+    here = F.col("page_id").eqNullSafe(F.col("drawn_id")) & (F.col("host") == F.col("of_host"))
+    chosen = pages.join(small_or_shuffled(drawn), here)
+    return staged(chosen.groupBy("host").agg(F.min(F.coalesce("html", F.lit(""))).alias("reference")), "references")
 
-    def induce(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = induced([html or "" for html in rows.sort_values("slot")["html"]])
-        found = [(rows["host"].iloc[0], keys)] if keys else []
-        return pd.DataFrame(found, columns=["host", "template"], dtype=object)
 
-    return staged(sample.groupBy("host").applyInPandas(induce, "host string, template array<bigint>"), "wrappers")
+def wrappers(pages: DataFrame) -> DataFrame:
+    """Per host with a template, its keys.  ``pages`` has host, page_id, url and html."""
+    rows = _with_host(pages, references(pages), F.length("reference")).where(F.col("reference").isNotNull())
+    made = rows.select("host", _aligned.asNondeterministic()("html", "reference").alias("made")).select("host", "made.*")
+    # Pages with the same blocks are one, also where their trees differ.
+    distinct = staged(made.groupBy("host", "digest").agg(F.min("keys").alias("keys")), "aligned")
+    n_pages = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages")).where(F.col("n_pages") >= LEAST_PAGES)
+    counts = distinct.select("host", F.explode("keys").alias("key")).groupBy("host", "key").agg(F.count(F.lit(1)).alias("n"))
+    # What fewer pages have is template nowhere.
+    counts = staged(counts.where(F.col("n") >= CONSTANT * LEAST_PAGES), "counts")
+    found = spread_lookup(counts, n_pages.join(key_counts(counts, "host"), "host"), "host", ["key"])
+    # A host keeps no more keys than 1 / CONSTANT of a page.
+    kept = found.where(F.col("n") >= CONSTANT * F.col("n_pages")).groupBy("host")
+    return staged(kept.agg(F.sort_array(F.collect_list("key")).alias("template")), "wrappers")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -310,11 +355,6 @@ def extracted(pages: DataFrame) -> DataFrame:
     host, _ = host_and_path(F.col("url"))
     rows = pages.select("page_id", "url", "html", host.alias("host"))
     templates = wrappers(rows)
-    size = templates.agg(F.sum(8 * F.size("template") + F.length("host"))).first()[0] or 0
-    if size <= BROADCAST_BYTES:
-        joined = rows.join(F.broadcast(templates), "host", "left")
-    else:
-        counts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n_rows"))
-        joined = spread_lookup(rows, templates.join(counts, "host"), "host", ["page_id", "url"])
+    joined = _with_host(rows, templates, 8 * F.size("template"))
     made = joined.select("page_id", "url", _main_texts.asNondeterministic()("html", "template").alias("text"))
     return made.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))

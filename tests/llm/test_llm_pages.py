@@ -151,6 +151,20 @@ def test_pages_of_a_hot_host(spark, monkeypatch, most):
     assert html_wrapper.extracted(spark.createDataFrame([], PAGE)).collect() == []
 
 
+@pytest.mark.parametrize("most", [0, 16 << 20])
+def test_template_of_all_pages(spark, monkeypatch, most):
+    """Hosts of just enough pages, and of mostly copies, have their template; half of the pages are no proof."""
+    monkeypatch.setattr(html_wrapper, "BROADCAST_BYTES", most)
+    rows = [(100 * h + i, f"https://eight{h}.org/{i}", page(i)) for h in range(6) for i in range(8)]
+    rows += [(1000 + i, "https://copies.org/", page(0)) for i in range(200)]
+    rows += [(2000 + i, f"https://copies.org/{i}", page(i)) for i in range(1, 30)]
+    rows += [(3000 + i, f"https://half.org/{i}", page(i, "<p>Half" if i % 2 else "")) for i in range(40)]
+    got = {r.page_id: r.text for r in html_wrapper.extracted(spark.createDataFrame(rows, PAGE)).collect()}
+    for i, _, html in rows:
+        story = re.search("Story [0-9]+", html)[0]
+        assert got[i] == (f"{story}\nHalf" if "Half" in html else story)
+
+
 # --- URLs -------------------------------------------------------------------
 
 def rule_by_hand(url):
