@@ -6,7 +6,10 @@ language that needs the fewest phrases per symbol wins.
 
 Parsing is run for many blocks of text at once: the automaton becomes a table
 of moves, where a symbol that ends a phrase moves to the state of a new phrase.
-A text is parsed whole, in blocks of ``BLOCK`` symbols.
+A text is parsed whole, in blocks of ``BLOCK`` symbols.  Every letter of the
+learned text is a symbol of its own.  A letter that a language does not have is a
+phrase there, so each table has columns for its own letters only; wide tables,
+and those beyond ``DENSE_BYTES`` in all, hold the existing moves alone.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 so is every text when there is nothing to learn from.  Rows whose id or label
@@ -36,10 +39,11 @@ SYMBOLS = 32_768
 SYMBOLS_IN_ALL = 262_144
 SYMBOLS_PER_DOC = 1_024
 SAMPLE_DOCS = 256
-# Letters told apart; rarer ones count as one symbol.
-LETTERS = 61
-WIDTH = LETTERS + 3
+# End of a text, what is between letters, and letters that were not learned.
 PAD, GAP, OTHER = 0, 1, 2
+# Columns of a table that holds all moves, and bytes of all such tables of a worker.
+DENSE = 128
+DENSE_BYTES = 256 << 20
 # Symbols of a block, and characters handled at once.
 BLOCK = 256
 SLICE = 1_500_000
@@ -100,21 +104,52 @@ class SuffixAutomaton:
         self.link[new] = target
         return new
 
-    def parsing_table(self) -> np.ndarray:
-        """Moves as one flat table of row starts; a negative one begins a phrase.
+    def parsing_table(self, width: int, dense: bool) -> Dense | Sparse:
+        """Moves between row starts; a negative one begins a phrase.
 
         Row 0 is the state before a phrase.  A symbol that cannot go on with the
         phrase begins the next; one the language does not have is a phrase.
         """
-        begin = np.full(WIDTH, -1, np.int64)  # to row 0
+        begin = np.full(width, -1, np.int64)  # to row 0
         for symbol, target in self.moves[0].items():
-            begin[symbol] = -1 - target * WIDTH
-        table = np.tile(begin, (len(self.moves), 1))
-        for state, moves in enumerate(self.moves):
-            if state:
-                table[state, list(moves)] = [target * WIDTH for target in moves.values()]
-        table[:, PAD] = 0
-        return table.astype(np.int32).ravel()
+            begin[symbol] = -1 - target * width
+        begin[PAD] = 0
+        rows = np.repeat(np.arange(1, len(self.moves)), [len(moves) for moves in self.moves[1:]]) * width
+        places = rows + np.array([symbol for moves in self.moves[1:] for symbol in moves], np.int64)
+        targets = np.array([target for moves in self.moves[1:] for target in moves.values()], np.int64) * width
+        if not dense:
+            order = np.argsort(places)
+            return Sparse(begin, places[order], targets[order])
+        table = np.tile(begin.astype(np.int32), len(self.moves))
+        table[places] = targets
+        return Dense(table)
+
+
+@dataclass
+class Dense:
+    """All moves, row after row."""
+
+    table: np.ndarray
+
+    def move(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        return self.table[state + symbols]
+
+
+@dataclass
+class Sparse:
+    """The moves that go on with a phrase, by place, and those that begin one, by symbol."""
+
+    begin: np.ndarray
+    places: np.ndarray
+    targets: np.ndarray
+
+    def move(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        moved = self.begin[symbols]
+        if len(self.places):
+            wanted = state + symbols
+            at = np.minimum(np.searchsorted(self.places, wanted), len(self.places) - 1)
+            moved = np.where(self.places[at] == wanted, self.targets[at], moved)
+        return moved
 
 
 @dataclass
@@ -132,13 +167,25 @@ class Model:
         return sorted(self.texts)
 
     def _build(self) -> None:
-        symbols = np.concatenate([np.zeros(0, np.uint32), *self.texts.values()])
-        points, counts = np.unique(symbols[symbols > 0], return_counts=True)
-        common = np.sort(points[np.argsort(-counts, kind="stable")[:LETTERS]])
-        classes = np.full(0x110000, OTHER, np.uint8)
-        classes[common] = np.arange(OTHER + 1, OTHER + 1 + len(common))
+        points = np.unique(np.concatenate([np.zeros(0, np.uint32), *self.texts.values()]))
+        points = points[points > 0]
+        size = OTHER + 1 + len(points)
+        classes = np.full(0x110000, OTHER, np.min_scalar_type(size))
+        classes[points] = np.arange(OTHER + 1, size)
         classes[0] = GAP
-        tables = [SuffixAutomaton(classes[self.texts[lang]].tolist()).parsing_table() for lang in self.languages]
+        tables, held = [], 0
+        for lang in self.languages:
+            text = classes[self.texts[lang]]
+            letters = np.unique(text[text > OTHER])
+            width = OTHER + 1 + len(letters)
+            own = np.full(size, OTHER, np.min_scalar_type(width))
+            own[[PAD, GAP]] = PAD, GAP
+            own[letters] = np.arange(OTHER + 1, width)
+            automaton = SuffixAutomaton(own[text].tolist())
+            bytes_of = 4 * width * len(automaton.moves)
+            dense = width <= DENSE and held + bytes_of <= DENSE_BYTES
+            held += bytes_of if dense else 0
+            tables.append((own, automaton.parsing_table(width, dense)))
         self._built.update(classes=classes, tables=tables)
 
     def phrases(self, points: list[np.ndarray]) -> np.ndarray:
@@ -146,7 +193,7 @@ class Model:
         if not self._built:
             self._build()
         blocks = np.array([-(-len(p) // BLOCK) for p in points], np.int64)
-        matrix = np.zeros((int(blocks.sum()), BLOCK), np.uint8)
+        matrix = np.zeros((int(blocks.sum()), BLOCK), self._built["classes"].dtype)
         row = 0
         for p, n in zip(points, blocks.tolist()):
             matrix[row : row + n].reshape(-1)[: len(p)] = self._built["classes"][p]
@@ -154,10 +201,10 @@ class Model:
         columns = np.ascontiguousarray(matrix.T)
         owner = np.repeat(np.arange(len(points)), blocks)
         out = np.empty((len(points), len(self.texts)), np.int64)
-        for i, table in enumerate(self._built["tables"]):
+        for i, (own, table) in enumerate(self._built["tables"]):
             state, begun = np.zeros(len(matrix), np.int32), np.zeros(len(matrix), np.int32)
-            for column in columns:
-                state = table[state + column]
+            for column in own[columns]:
+                state = table.move(state, column)
                 begins = state < 0
                 begun += begins
                 state = np.where(begins, ~state, state)

@@ -128,6 +128,27 @@ def test_phrases_are_longest_matches():
         assert got == wanted
 
 
+@pytest.mark.parametrize("dense", [0, 256 << 20])
+def test_no_letter_is_merged(monkeypatch, dense):
+    """Many scripts, and languages that differ only in letters that are spread thin."""
+    monkeypatch.setattr(langid, "DENSE_BYTES", dense)
+    random.seed(6)
+    alphabets = {"a": "abcdefghijklmnopqrstuvwxyz", "g": [chr(c) for c in range(0x3B1, 0x3CA)], "r": [chr(c) for c in range(0x430, 0x450)]}
+    alphabets |= {"k": [chr(c) for c in range(0xAC00, 0xAC00 + 900)], "z": [chr(c) for c in range(0x4E00, 0x4E00 + 900)]}
+    alphabets["y"] = [chr(c) for c in range(0x4E00 + 450, 0x4E00 + 1350)]
+    known = {n: langid.letters_of("".join(random.choices(a, k=2000))) for n, a in alphabets.items()}
+    model = langid.Model(known)
+    for name, letters in alphabets.items():
+        text = "".join(random.choices(letters, k=600)) + " \U00010400"
+        points = langid.letters_of(text)
+        wanted = []
+        for n in model.languages:
+            strings = ["".join(map(chr, p)) for p in (known[n], points)]
+            wanted.append(sum(phrases_by_search(strings[0], strings[1][i : i + langid.BLOCK]) for i in range(0, len(points), langid.BLOCK)))
+        assert model.phrases([points])[0].tolist() == wanted
+        assert model.predict([text])[0] == [name]
+
+
 def test_letters():
     assert "".join(chr(p) if p else " " for p in langid.letters_of("Ab, cD9 É!漢")) == "ab cd é 漢"
     assert len(langid.letters_of("12 !?\n")) == 0 and len(langid.letters_of("12 é"[:3])) == 0
