@@ -27,17 +27,17 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brightweir.llm.common import in_slices, staged
 from brightweir.operators.lookup import small_or_shuffled
 
 UNDETERMINED = "und"
-# The sample of labelled text: symbols per language, and in all for very many
-# languages; symbols that one document may give; documents looked at.
+# The sample of labelled text: symbols per language, those of a passage, and the
+# distinct texts that passages are drawn from.
 SYMBOLS = 32_768
-SYMBOLS_IN_ALL = 262_144
-SYMBOLS_PER_DOC = 1_024
+PASSAGE = 128
 SAMPLE_DOCS = 256
 # End of a text, what is between letters, and letters that were not learned.
 PAD, GAP, OTHER = 0, 1, 2
@@ -228,38 +228,51 @@ class Model:
         return names, scores
 
 
+def passages_of(text: str, digest: int) -> list[np.ndarray]:
+    """Passages from all over a text, in the order of a hash, up to ``SYMBOLS`` symbols."""
+    symbols = letters_of(text)
+    starts = range(0, len(symbols), PASSAGE)
+    order = sorted(starts, key=lambda start: xxhash.xxh64_intdigest(start.to_bytes(8, "little"), digest % (1 << 64)))
+    return [symbols[start : start + PASSAGE] for start in order[: -(-SYMBOLS // PASSAGE)]]
+
+
 def learn(docs: DataFrame) -> Model:
     """Learn from a bounded sample of the labelled documents that are not held out.
 
-    Per language the documents with the smallest hashes give their text, whole
-    up to ``SYMBOLS_PER_DOC`` symbols each, until ``SYMBOLS`` are gathered.  The
-    driver receives these symbols, at most ``SYMBOLS_IN_ALL`` or one document's
-    share per language.
+    Per language about ``SAMPLE_DOCS`` distinct texts are drawn by their digests;
+    copies of a text count once.  Each gives passages from all over it, in turns,
+    until ``SYMBOLS`` are gathered.  Every language gets as many, however many
+    languages there are; the driver receives these symbols.
     """
-    labelled = docs.select("doc_id", "lang", "text").where(
+    labelled = docs.select("lang", "text", F.xxhash64("text").alias("digest")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    counts = small_or_shuffled(staged(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages"))
-    # A share of the hash range that holds about SAMPLE_DOCS documents, whatever the size.
+    distinct = labelled.select("lang", "digest").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = small_or_shuffled(staged(distinct, "languages"))
+    # A share of the hash range that holds about SAMPLE_DOCS texts, whatever the size.
     share = F.lit(float(1 << 40)) * F.least(F.lit(1.0), F.lit(float(SAMPLE_DOCS)) / F.col("n"))
-    drawn = labelled.withColumn("draw", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))).join(counts, "lang").where(F.col("draw") < share)
+    drawn = labelled.join(counts, "lang").where(F.pmod("digest", F.lit(1 << 40)) < share)
+    drawn = drawn.groupBy("lang", "digest").agg(F.min("text").alias("text"))
 
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("digest")
+        drawn = [passages_of(text, digest) for text, digest in zip(rows["text"], rows["digest"].tolist())]
         taken: list[np.ndarray] = []
         held = 0
-        for text in rows.sort_values(["draw", "doc_id"])["text"]:
-            symbols = letters_of(text)[:SYMBOLS_PER_DOC]
-            taken.append(symbols)
-            held += len(symbols)
+        for turn in range(max(map(len, drawn))):
+            for passages in drawn:
+                if turn < len(passages) and held < SYMBOLS:
+                    # What stands apart is not read as one.
+                    taken += [passages[turn], np.zeros(1, passages[turn].dtype)]
+                    held += len(passages[turn]) + 1
             if held >= SYMBOLS:
                 break
-        joined = np.concatenate(taken)[:SYMBOLS].astype("<u4")
+        joined = np.concatenate([np.zeros(0, np.uint32), *taken])[:SYMBOLS].astype("<u4")
         return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "symbols": [joined.tobytes()]})
 
-    gathered = drawn.select("lang", "draw", "doc_id", "text").groupBy("lang").applyInPandas(gather, "lang string, symbols binary")
+    gathered = drawn.groupBy("lang").applyInPandas(gather, "lang string, symbols binary")
     texts = {row.lang: np.frombuffer(bytes(row.symbols), "<u4") for row in gathered.toLocalIterator()}
-    most = max(SYMBOLS_PER_DOC, SYMBOLS_IN_ALL // max(1, len(texts)))
-    return Model({lang: symbols[:most] for lang, symbols in texts.items() if len(symbols)})
+    return Model({lang: symbols for lang, symbols in texts.items() if len(symbols)})
 
 
 def predicted(docs: DataFrame, model: Model) -> Column:

@@ -182,6 +182,21 @@ def test_language_ignores_labels_of_held_out_rows(spark):
     assert [r.lang_pred for r in plain if r.doc_id in (101, 102)] == ["und"] * 3
 
 
+def test_sample_is_of_distinct_texts_and_whole_ones(spark):
+    random.seed(7)
+    learned = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(learned[i], "licence of the head " * 500, "a") for i in range(800)]
+    # Every text has the same long head and its own rest.
+    rows += [(learned[1000 + i], "shared head " * 200 + " ".join(random.choices(["tail", "rest", f"w{chr(97 + i)}x"], k=500)), "b") for i in range(20)]
+    rows += [(learned[1100 + 2 * i + j], " ".join(random.choices("qwert zuiop asdf ghj".split(), k=9000)), f"l{i}") for i in range(12) for j in range(2)]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id int, text string, lang string"))
+    strings = {lang: "".join(chr(p) if p else " " for p in points) for lang, points in model.texts.items()}
+    # The copies are one text; many languages have their whole share each.
+    assert len(strings["a"]) < 11_000
+    assert all(len(strings[f"l{i}"]) == langid.SYMBOLS for i in range(12))
+    assert all(f"w{chr(97 + i)}x" in strings["b"] for i in range(20))
+
+
 def counts_by_search(text: str) -> tuple:
     words = re.findall("[^\x20\x09-\x0d]+", text)
     windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
