@@ -297,7 +297,13 @@ def identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: documents with a language, in their own columns."""
+    """Pipeline stage: documents with a language, in their own columns.
+
+    Where there is nothing to learn from, all documents with a letter stay.
+    """
+    model = learn(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    made = docs.select(row.alias("row"), F.col("text")).withColumn("made", predicted(docs, learn(docs)))
+    made = docs.select(row.alias("row"), F.col("text")).withColumn("made", predicted(docs, model))
     return made.where(F.col("made.lang_pred") != UNDETERMINED).select("row.*")

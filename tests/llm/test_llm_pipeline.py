@@ -98,3 +98,10 @@ def test_empty_documents(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = staged(stage(spark, docs, ""), name)
         assert docs.count() == 0
+
+
+def test_documents_without_labels_stay(spark):
+    rows = [(1, "the river", None, None, None), (None, "Fluß 漢", None, "s", 7), (3, None, None, "s", None), (4, "12 !", None, "s", 4)]
+    rows += [rows[0]]
+    got = corpus_pipeline.language(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert Counter(tuple(r) for r in got) == Counter([rows[0], rows[1], rows[0]])
