@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightweir.llm import byte_bpe, exact_dedup, html_wrapper, langid, packing, quality, secret_scan, sharding, simhash, url_filter
+from brightweir.llm import (
+    byte_bpe,
+    embedding_dedup,
+    exact_dedup,
+    html_wrapper,
+    langid,
+    packing,
+    quality,
+    secret_scan,
+    sharding,
+    simhash,
+    token_alignment,
+    url_filter,
+    whitening,
+)
 from brightweir.llm.common import table
 from brightweir.session import configure
 
@@ -33,6 +47,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kd_tree_shards": _over("documents", sharding.sharded),
     "op9_byte_bpe": _over("documents", byte_bpe.encoded_documents),
     "op10_cross_parsing_language": _over("documents", langid.identified),
+    "op11_token_alignment": _over("documents", token_alignment.aligned_documents),
+    "op12_cholesky_whitening": _over("embeddings", whitening.whitened),
+    "op13_cross_polytope_dedup": _over("embeddings", embedding_dedup.near_duplicates),
 }
 
 
