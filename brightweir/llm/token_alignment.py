@@ -229,15 +229,15 @@ def aligned_slice(aligner: Aligner, texts: list[str]) -> dict[str, list | np.nda
 
     # Units of each document, then their pairs, with how often they occur.
     of_doc, often = np.unique((doc * len(units) + which)[good[doc]], return_counts=True)
-    doc, which = of_doc // max(1, len(units)), of_doc % max(1, len(units))
+    owner, unit = of_doc // max(1, len(units)), of_doc % max(1, len(units))
     sizes = np.array([len(u.pairs) for u in units], np.int64)
     flat = np.concatenate([np.empty(0, np.int64), *(u.pairs for u in units)])
     times = np.concatenate([np.empty(0, np.int64), *(u.times for u in units)])
     keys, flat = np.unique(flat, return_inverse=True)
-    at = ranges((np.cumsum(sizes) - sizes)[which], sizes[which])
-    doc_pair = np.repeat(doc, sizes[which]) * len(keys) + flat[at]
+    at = ranges((np.cumsum(sizes) - sizes)[unit], sizes[unit])
+    doc_pair = np.repeat(owner, sizes[unit]) * len(keys) + flat[at]
     held, inverse = np.unique(doc_pair, return_inverse=True)
-    weight = np.bincount(inverse, times[at] * np.repeat(often, sizes[which]), len(held)).astype(np.int64)
+    weight = np.bincount(inverse, times[at] * np.repeat(often, sizes[unit]), len(held)).astype(np.int64)
     pair = held % max(1, len(keys))
     return {
         "n_a": added([u.n_a for u in units]),
