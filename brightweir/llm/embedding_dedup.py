@@ -124,12 +124,12 @@ def probed(rows: np.ndarray, plan: Plan) -> np.ndarray:
 @functools.lru_cache(maxsize=64)
 def plan_for(size: int, rows: int, cosine: float) -> Plan:
     """Codes from the rows of a label, tables from pairs at the threshold."""
+    if size == 1:
+        return Plan(size, 1, 1, 1)
     codes = 1
     while rows * 2 ** (codes + 1) > BUCKET * (2 * size) ** codes:
         codes += 1
     probes = min(2 ** (codes + 1), min(RANKED, size) ** codes)
-    if size == 1:
-        return Plan(size, codes, probes, 1)
     draws = np.random.default_rng(SEED)
     first, second = draws.normal(size=(2, TRIALS, size))
     first /= np.linalg.norm(first, axis=1, keepdims=True)
