@@ -7,10 +7,10 @@ of its component.  Doubling the successors (each token takes over the successor
 of its successor) until nothing changes gives every token its terminal, which
 labels its group.
 
-A text is cut before single spaces and newlines between other characters,
-where both tokenizers cut as well (checked on the second vocabulary), so it has
-the groups of its units one after the other, and each distinct unit is aligned
-once.  Documents are taken in slices; a slice keeps its distinct pairs of ids
+A text is cut before single spaces and newlines between other characters and
+before marks after a letter, where both tokenizers cut as well (checked on the
+second vocabulary), so it has the groups of its units one after the other, and
+each distinct unit is aligned once.  Documents are taken in slices; a slice keeps its distinct pairs of ids
 once, with the number of its documents that hold them.  These are summed over
 the corpus, and the sums come back to the slices, not to every link.
 
@@ -45,15 +45,14 @@ SECOND = "piece_bpe_32k.model"
 SPACE = "▁"
 # Characters of the documents that are looked at together.
 SLICE = 2_000_000
-# Units a worker remembers before it starts afresh, and the longest of them.
-REMEMBERED = 150_000
-LONGEST = 64
+# Units and links a worker remembers before it starts afresh.
+REMEMBERED = 200_000
+LINKS = 2_000_000
+# Marks before which a word is cut, if no piece of the second vocabulary holds a letter before them.
+MARKS = ".,;:!?"
 # Ids of the second tokenizer are below this; a pair is one number.
 PAIR = 1 << 24
 
-_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-_UNCUT = re.compile(r"(?!)")
-
 SLICES = (
     "slice bigint, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, "
     "groups_sha256 array<string>, bounds array<int>, pair array<int>, times array<int>, key array<bigint>, n_docs array<bigint>"
@@ -94,18 +93,12 @@ def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.repeat(np.arange(len(a_ends)), high - low + 1), ranges(low, high - low + 1)
 
 
-class Unit:
-    """What the alignment of a piece of text adds to its document."""
-
-    __slots__ = ("whole", "n_a", "n_b", "n_groups", "groups", "pairs", "times")
-
-    def __init__(self) -> None:
-        self.whole, self.n_a, self.n_b, self.n_groups, self.groups = False, 0, 0, 0, ""
-        self.pairs = self.times = np.empty(0, np.int64)
-
-
 class Aligner:
-    """Both tokenizers, with a memory of the units met."""
+    """Both tokenizers, with a memory of the units met.
+
+    Units are numbered; what they hold lies in arrays by that number, links of
+    a unit one after the other.
+    """
 
     def __init__(self, first: str, second: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -120,70 +113,81 @@ class Aligner:
         self.b_bytes = [
             bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)
         ]
-        # No piece may span a place where texts are cut.
-        plain = [p for i, p in enumerate(pieces) if not self.b.is_byte(i)]
-        self.space = self.b.piece_to_id(SPACE)
-        safe = pieces[self.space] == SPACE and not any("\n" in p or SPACE in p.lstrip(SPACE) for p in plain)
-        self.cut = _CUT if safe else _UNCUT
-        self.known: dict[str, Unit] = {}
+        # What the second tokenizer puts before a text that begins with a newline.
+        self.newline = self.b.encode("\n")
+        self.cut = self._cut([p for i, p in enumerate(pieces) if not self.b.is_byte(i)])
+        self._forget()
+
+    def _cut(self, pieces: list[str]) -> re.Pattern:
+        """Where texts are cut: no piece of the second vocabulary may span such a place."""
+        if len(self.newline) != 2 or any("\n" in p or SPACE in p.lstrip(SPACE) for p in pieces):
+            return re.compile(r"(?!)")
+        marks = [m for m in MARKS if not any(re.search(rf"[^\W\d_]{re.escape(m)}", p) for p in pieces)]
+        after_letter = rf"|(?<=[^\W\d_])(?=[{re.escape(''.join(marks))}])" if marks else ""
+        return re.compile(rf"(?<=\S)(?=[ \n]\S){after_letter}")
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.groups: list[str] = []
+        # Per unit: tokens of both sides, groups, links; none of them where its bytes do not come back.
+        self.counts = np.empty((4, 0), np.int64)
+        self.pairs = np.empty(0, np.int64)
 
     def units(self, text: str) -> list[str]:
         """The text, a space before it, in units that both tokenizers cut."""
         return self.cut.split(" " + text)
 
-    def aligned(self, units: list[str]) -> list[Unit]:
-        """Each of the distinct units, those not met before together."""
-        fresh = [u for u in units if u not in self.known]
-        made = dict(zip(fresh, self._align(fresh)))
-        out = [made.get(u) or self.known[u] for u in units]
-        if len(self.known) + len(made) > REMEMBERED:
-            self.known = {}
-        self.known.update((u, unit) for u, unit in made.items() if len(u) <= LONGEST)
-        return out
+    def numbered(self, units: list[str]) -> np.ndarray:
+        """The numbers of units; those not met before are aligned together.
+
+        Numbers hold until the next call.
+        """
+        if len(self.place) > REMEMBERED or len(self.pairs) > LINKS:
+            self._forget()
+        place = self.place
+        fresh = [u for u in dict.fromkeys(units) if u not in place]
+        place.update(zip(fresh, range(len(place), len(place) + len(fresh))))
+        if fresh:
+            self._align(fresh)
+        return np.fromiter(map(place.__getitem__, units), np.int64, len(units))
 
     def _tokens(self, units: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of both tokenizers; empty where the bytes do not come back."""
         firsts = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        # The second puts a space before what it is given: the one units begin with, or one of its own before a newline.
-        seconds = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
+        # The second puts a space before what it is given: the one units begin with, or one
+        # that goes again, with the newline that keeps it apart.
+        seconds = self.b.encode([u[1:] if u[0] == " " else u if u[0] == "\n" else "\n" + u for u in units], num_threads=1)
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
         out = []
         for unit, a, b in zip(units, firsts, seconds):
             if unit[0] != " ":
-                b = b[1:] if b and b[0] == self.space else []
-            wanted = unit.encode()
-            whole = b"".join(map(self.a_bytes.__getitem__, a)) == wanted == b"".join(map(self.b_bytes.__getitem__, b))
+                b = b[1 if unit[0] == "\n" else 2 :] if b[: len(self.newline)] == self.newline else []
+            whole = b"".join(map(a_bytes, a)) == unit.encode() == b"".join(map(b_bytes, b))
             out.append((a, b) if whole else ([], []))
         return out
 
-    def _align(self, units: list[str]) -> list[Unit]:
-        out = [Unit() for _ in units]
-        if not units:
-            return out
+    def _align(self, units: list[str]) -> None:
         tokens = self._tokens(units)
-        a_sizes, b_sizes = (np.array([len(t[side]) for t in tokens]) for side in (0, 1))
-        a_ids, b_ids = (np.array([i for t in tokens for i in t[side]], np.int64) for side in (0, 1))
-        if not len(a_ids):
-            return out
-        a_ends = np.cumsum([len(self.a_bytes[i]) for i in a_ids.tolist()])
-        b_ends = np.cumsum([len(self.b_bytes[i]) for i in b_ids.tolist()])
-        terminal = jumped(successors(a_ends, b_ends))
-        x, y = overlaps(a_ends, b_ends)
-        pairs = a_ids[x] * PAIR + b_ids[y]
-        # Tokens, links and groups of a unit lie one after the other.
-        a_bounds, b_bounds = (np.concatenate([[0], np.cumsum(s)]) for s in (a_sizes, b_sizes))
-        link_bounds = np.searchsorted(x, a_bounds)
-        a_group, b_group = terminal[: len(a_ids)], terminal[len(a_ids) :]
-        labels = np.unique(b_group)
-        spelled = _spelled(labels, a_group, a_ids, b_group, b_ids)
-        group_bounds = np.searchsorted(labels, b_bounds + len(a_ids))
-        for k, unit in enumerate(out):
-            if a_sizes[k]:
-                unit.whole = True
-                unit.n_a, unit.n_b = int(a_sizes[k]), int(b_sizes[k])
-                first, last = group_bounds[k : k + 2].tolist()
-                unit.n_groups, unit.groups = last - first, ";".join(spelled[first:last])
-                unit.pairs, unit.times = np.unique(pairs[link_bounds[k] : link_bounds[k + 1]], return_counts=True)
-        return out
+        bounds, ids, ends = [], [], []
+        for side, spelled in ((0, self.a_bytes), (1, self.b_bytes)):
+            flat = [i for t in tokens for i in t[side]]
+            bounds.append(np.cumsum([0, *(len(t[side]) for t in tokens)]))
+            ids.append(np.array(flat, np.int64))
+            ends.append(np.cumsum([len(spelled[i]) for i in flat], dtype=np.int64))
+        links = groups = np.zeros(len(units) + 1, np.int64)
+        texts: list[str] = []
+        if len(ids[0]):
+            n = len(ids[0])
+            terminal = jumped(successors(*ends))
+            x, y = overlaps(*ends)
+            self.pairs = np.concatenate([self.pairs, ids[0][x] * PAIR + ids[1][y]])
+            # Tokens, links and groups of a unit lie one after the other.
+            links = np.searchsorted(x, bounds[0])
+            labels = np.unique(terminal[n:])
+            groups = np.searchsorted(labels, bounds[1] + n)
+            texts = _spelled(labels, terminal[:n], ids[0], terminal[n:], ids[1])
+        self.groups += [";".join(texts[i:j]) for i, j in zip(groups.tolist(), groups[1:].tolist())]
+        self.counts = np.concatenate([self.counts, np.stack([np.diff(b) for b in (*bounds, groups, links)])], axis=1)
 
 
 def _spelled(labels: np.ndarray, a_group: np.ndarray, a_ids: np.ndarray, b_group: np.ndarray, b_ids: np.ndarray) -> list[str]:
@@ -204,50 +208,37 @@ def loaded(first: str, second: str) -> Aligner:
 
 def aligned_slice(aligner: Aligner, texts: list[str]) -> dict[str, list | np.ndarray]:
     """The columns of a slice but its number and ids."""
-    place: dict[str, int] = {}
-    index, bounds = [], [0]
+    units, bounds = [], [0]
     for text in texts:
         if text:
-            index += [place.setdefault(u, len(place)) for u in aligner.units(text)]
-        bounds.append(len(index))
-    units = aligner.aligned(list(place))
-    which, ends = np.array(index, np.int64), np.array(bounds)
-    doc = np.repeat(np.arange(len(texts)), np.diff(ends))
-    whole = np.array([u.whole for u in units], bool)
+            units += aligner.units(text)
+        bounds.append(len(units))
+    which = aligner.numbered(units)
+    doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
+    counts = aligner.counts
     # A document with a unit that does not come back has no tokens at all.
-    good = (np.diff(ends) > 0) & (np.bincount(doc, ~whole[which], len(texts)) == 0)
-
-    def added(values: list[int]) -> np.ndarray:
-        sums = np.bincount(doc, np.array(values, np.float64)[which], len(texts))
-        return np.where(good, sums, 0).astype(np.int64)
-
-    groups = [u.groups for u in units]
+    good = (np.diff(bounds) > 0) & (np.bincount(doc, counts[0][which] == 0, len(texts)) == 0)
+    sums = [np.where(good, np.bincount(doc, of_unit[which], len(texts)), 0).astype(np.int64) for of_unit in counts]
+    groups = list(map(aligner.groups.__getitem__, which.tolist()))
     digests = [
-        hashlib.sha256(";".join([groups[i] for i in index[a:b]]).encode()).hexdigest() if ok else ""
-        for a, b, ok in zip(bounds, bounds[1:], good.tolist())
+        hashlib.sha256(";".join(groups[a:b]).encode()).hexdigest() if ok else "" for a, b, ok in zip(bounds, bounds[1:], good.tolist())
     ]
 
     # Units of each document, then their pairs, with how often they occur.
-    of_doc, often = np.unique((doc * len(units) + which)[good[doc]], return_counts=True)
-    owner, unit = of_doc // max(1, len(units)), of_doc % max(1, len(units))
-    sizes = np.array([len(u.pairs) for u in units], np.int64)
-    flat = np.concatenate([np.empty(0, np.int64), *(u.pairs for u in units)])
-    times = np.concatenate([np.empty(0, np.int64), *(u.times for u in units)])
-    keys, flat = np.unique(flat, return_inverse=True)
+    names, local = np.unique(which, return_inverse=True)
+    of_doc, often = np.unique((doc * len(names) + local)[good[doc]], return_counts=True)
+    owner, unit = np.divmod(of_doc, max(1, len(names)))
+    begins, sizes = (np.cumsum(counts[3]) - counts[3])[names], counts[3][names]
+    keys, place = np.unique(aligner.pairs[ranges(begins, sizes)], return_inverse=True)
     at = ranges((np.cumsum(sizes) - sizes)[unit], sizes[unit])
-    doc_pair = np.repeat(owner, sizes[unit]) * len(keys) + flat[at]
-    held, inverse = np.unique(doc_pair, return_inverse=True)
-    weight = np.bincount(inverse, times[at] * np.repeat(often, sizes[unit]), len(held)).astype(np.int64)
+    held, inverse = np.unique(np.repeat(owner, sizes[unit]) * len(keys) + place[at], return_inverse=True)
     pair = held % max(1, len(keys))
     return {
-        "n_a": added([u.n_a for u in units]),
-        "n_b": added([u.n_b for u in units]),
-        "n_groups": added([u.n_groups for u in units]),
-        "n_links": added([int(u.times.sum()) for u in units]),
+        **dict(zip(("n_a", "n_b", "n_groups", "n_links"), sums)),
         "groups_sha256": digests,
         "bounds": np.searchsorted(held, np.arange(len(texts) + 1) * len(keys)),
         "pair": pair,
-        "times": weight,
+        "times": np.bincount(inverse, np.repeat(often, sizes[unit]), len(held)).astype(np.int64),
         "key": keys,
         "n_docs": np.bincount(pair, minlength=len(keys)),
     }
