@@ -50,6 +50,7 @@ REMEMBERED = 200_000
 LINKS = 2_000_000
 # Marks before which a word is cut, if no piece of the second vocabulary holds a letter before them.
 MARKS = ".,;:!?"
+LETTER = r"[^\W\d_\u00b2\u00b3\u00b9]"
 # Ids of the second tokenizer are below this; a pair is one number.
 PAIR = 1 << 24
 
@@ -122,8 +123,8 @@ class Aligner:
         """Where texts are cut: no piece of the second vocabulary may span such a place."""
         if len(self.newline) != 2 or any("\n" in p or SPACE in p.lstrip(SPACE) for p in pieces):
             return re.compile(r"(?!)")
-        marks = [m for m in MARKS if not any(re.search(rf"[^\W\d_]{re.escape(m)}", p) for p in pieces)]
-        after_letter = rf"|(?<=[^\W\d_])(?=[{re.escape(''.join(marks))}])" if marks else ""
+        marks = [m for m in MARKS if not any(re.search(LETTER + re.escape(m), p) for p in pieces)]
+        after_letter = rf"|(?<={LETTER})(?=[{re.escape(''.join(marks))}])" if marks else ""
         return re.compile(rf"(?<=\S)(?=[ \n]\S){after_letter}")
 
     def _forget(self) -> None:
@@ -292,19 +293,22 @@ def pair_counts(parts: DataFrame) -> DataFrame:
 def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document from the slices with the counts of their pairs."""
     for batch in batches:
-        for row in batch.to_pylist():
-            found = sorted(row["found"] or [], key=lambda f: f["place"])
-            n = np.array([f["n"] for f in found], np.int64)
-            best = np.array([f["best"] for f in found], bool)
-            pair, times = np.array(row["pair"], np.int64), np.array(row["times"], np.int64)
-            bounds = np.array(row["bounds"])
+        for i in range(len(batch)):
+            held = {name: batch.column(name)[i].values for name in batch.schema.names if name != "slice"}
+            found = held["found"].flatten() if held["found"] is not None else []
+            n, best = np.zeros(0, np.int64), np.zeros(0, bool)
+            if len(found):
+                place, n, best = (c.to_numpy(zero_copy_only=False) for c in found)
+                order = np.argsort(place)
+                n, best = n[order], best[order]
+            pair, times, bounds = (held[name].to_numpy() for name in ("pair", "times", "bounds"))
 
             def sums(values: np.ndarray) -> np.ndarray:
-                return np.diff(np.concatenate([[0], np.cumsum(values)])[bounds])
+                return np.diff(np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[bounds])
 
             yield pa.RecordBatch.from_pydict(
-                {k: pa.array(row[k], pa.int64()) for k in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
-                | {"n_best": sums(times * best[pair]), "count_sum": sums(times * n[pair]), "groups_sha256": row["groups_sha256"]}
+                {name: held[name] for name in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
+                | {"n_best": sums(times * best[pair]), "count_sum": sums(times * n[pair]), "groups_sha256": held["groups_sha256"]}
             )
 
 
