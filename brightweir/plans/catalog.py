@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brightweir import fixed_values as fixed
 from brightweir.functions import dates, html, keys, names, text, urls
-from brightweir.operators import chunking, dedup, enrich, extraction, freshness, lookup, relations, report, resolve, validate
+from brightweir.operators import chunking, dedup, enrich, extraction, freshness, lookup, relations, report, resolve, semantic, validate
 from brightweir.plans import verticals, workload as w
 from brightweir.session import configure, scratch_path
 from brightweir.sinks import export
@@ -623,8 +623,7 @@ def export_roundtrip(spark, sf_dir):
     return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in back.columns])
 
 
-@query
-def vendor_graph_edges(spark, sf_dir):
+def _vendor_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Relations are read from the written tables of the three ingests.
     startups, products, jobs = (
         verticals.staged(build(spark, sf_dir).rows, name)
@@ -633,6 +632,53 @@ def vendor_graph_edges(spark, sf_dir):
     return relations.vendor_edges(startups, products, jobs)
 
 
+@query
+def vendor_graph_edges(spark, sf_dir):
+    return _vendor_edges(spark, sf_dir)
+
+
+@query
+def vendor_reach(spark, sf_dir):
+    """What a vendor reaches in three steps: its products and role families, who else hires for these, and what they make."""
+    edges = verticals.staged(_vendor_edges(spark, sf_dir), "vendor-edges")
+    starts = edges.select(F.concat(F.lit("vendor:"), "vendor").alias("node")).distinct()
+    return relations.reach(relations.both_ways(edges, ["HIRES"]), starts, 3)
+
+
+@query
+def region_reach(spark, sf_dir):
+    """Multi-hop relation over the trade tables: from each region to its nations, suppliers and their orders' customers' nations."""
+    nation, supplier, customer = (w.table(spark, sf_dir, name) for name in ("nation", "supplier", "customer"))
+    orders, lineitem = (w.table(spark, sf_dir, name) for name in ("orders", "lineitem"))
+
+    def named(kind: str, column: str) -> Column:
+        return F.concat(F.lit(kind), F.col(column).cast("string"))
+
+    steps = (
+        nation.select(named("region:", "n_regionkey").alias("src"), named("nation:", "n_nationkey").alias("dst"))
+        .union(supplier.select(named("nation:", "s_nationkey"), named("supplier:", "s_suppkey")))
+        .union(lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(named("supplier:", "l_suppkey"), named("customer:", "o_custkey")))
+        .union(customer.select(named("customer:", "c_custkey"), named("nation:", "c_nationkey")))
+    )
+    starts = nation.select(named("region:", "n_regionkey").alias("node"))
+    return relations.reach(steps, starts, 4)
+
+
+# --- Vectors -------------------------------------------------------------------------------
+
+
+@query
+def semantic_dedup(spark, sf_dir):
+    """Groups of embeddings at the threshold of near-duplicates."""
+    return semantic.semantic_groups(w.table(spark, sf_dir, "embeddings"))
+
+
+@query
+def semantic_topics(spark, sf_dir):
+    """Groups of embeddings at a threshold that unrelated rows of the given tables meet now and then."""
+    return semantic.semantic_groups(w.table(spark, sf_dir, "embeddings"), 0.42)
+
+
 # --- Streams -------------------------------------------------------------------------------
 
 

@@ -517,6 +517,36 @@ def statements() -> dict[str, str]:
             from ({first('product_rows', 'seq', '*')}) p) pp
         union all select * from (with {jobs_cte()} select canonical_name as vendor, 'HIRES' as relation, 'Engineering' as target, count(*) as weight
             from ({first('job_rows', 'source, page, seq', '*')}) q group by 1) jj) e using (vendor)"""
+    # Multi-hop relations: ways of each length, then the least length per pair.
+    def reach(steps: str, starts: str, hops: int) -> str:
+        levels = "".join(f""", h{i} as (select h.start, s.dst as node, sum(h.n)::bigint as n from h{i - 1} h join steps s on s.src = h.node group by 1, 2)"""
+                         for i in range(1, hops + 1))
+        every = " union all ".join(f"select start, node, {i} as hops, n from h{i}" for i in range(hops + 1))
+        return f"""with steps as (select distinct src, dst from ({steps}) s), h0 as (select distinct node as start, node, 1::bigint as n from ({starts}) t){levels}
+            select start, node, min(hops)::int as hops, arg_min(n, hops) as n_paths from ({every}) e group by 1, 2 having min(hops) > 0"""
+
+    edges = sql["vendor_graph_edges"]
+    sql["vendor_reach"] = reach(
+        f"""select 'vendor:' || vendor as src, lower(relation) || ':' || target as dst from ({edges}) e
+            union all select lower(relation) || ':' || target, 'vendor:' || vendor from ({edges}) e where relation = 'HIRES'""",
+        f"select 'vendor:' || vendor as node from ({edges}) e", 3)
+    sql["region_reach"] = reach(
+        """select 'region:' || n_regionkey as src, 'nation:' || n_nationkey as dst from nation
+            union all select 'nation:' || s_nationkey, 'supplier:' || s_suppkey from supplier
+            union all select 'supplier:' || l_suppkey, 'customer:' || o_custkey from lineitem join orders on l_orderkey = o_orderkey
+            union all select 'customer:' || c_custkey, 'nation:' || c_nationkey from customer""",
+        "select 'region:' || n_regionkey as node from nation", 4)
+
+    # Vectors: all pairs, and what can be reached over them.
+    def groups(cosine: float) -> str:
+        return f"""with recursive v as materialized (select vec_id, embedding::double[] as e from embeddings where embedding is not null),
+            l as materialized (select x.vec_id as a, y.vec_id as b from v x join v y on x.vec_id <> y.vec_id and list_cosine_similarity(x.e, y.e) >= {cosine}),
+            reached(n, r) as (select vec_id, vec_id from v union select l.a, reached.r from reached join l on l.b = reached.n),
+            g as (select n as vec_id, min(r) as group_id from reached group by n)
+            select vec_id, group_id, count(*) over (partition by group_id) as group_size, vec_id = group_id as is_representative from g"""
+
+    sql["semantic_dedup"] = groups(0.9)
+    sql["semantic_topics"] = groups(0.42)
 
     # Extraction tables
     a = f"a as ({w.duck(w.attempts)})"
