@@ -143,6 +143,13 @@ def date_parse_absolute(spark, sf_dir):
     return w.derived(spark, sf_dir, w.date_texts).select("k", "date_text", parsed.alias("parsed"))
 
 
+@query
+def date_parse_general(spark, sf_dir):
+    """Dates in orders and spellings beyond the usual shapes."""
+    parsed = dates.iso_utc(dates.parse_absolute(F.col("date_text")))
+    return _spread(w.derived(spark, sf_dir, w.general_date_texts)).select("k", "date_text", parsed.alias("parsed"))
+
+
 @query
 def date_parse_relative(spark, sf_dir):
     parsed = dates.iso_utc(dates.parse_relative(F.col("date_text"), _ref()))

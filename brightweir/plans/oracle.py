@@ -339,6 +339,11 @@ def statements() -> dict[str, str]:
     sql["date_parse_absolute"] = f"""with t as ({texts}) select k, date_text, case k % 6 when 3 then
         strftime(date_trunc('day', make_timestamp(e * 1000000)), '%Y-%m-%dT%H:%M:%SZ') when 4 then null when 5 then null
         else {iso("e")} end as parsed from t"""
+    day, minute = "cast(floor(e / 86400.0) as bigint) * 86400", "cast(floor(e / 60.0) as bigint) * 60"
+    general = w.duck(w.general_date_texts)
+    kept = [f"{minute} + 18000", "cast(floor(e / 3600.0) as bigint) * 3600", day, minute, "e", "e", None, f"{minute} - 7200"]
+    cases = " ".join(f"when {i} then {iso(of)}" for i, of in enumerate(kept) if of)
+    sql["date_parse_general"] = f"""with t as ({general}) select k, date_text, case k % 10 {cases} end as parsed from t"""
     sql["date_parse_relative"] = f"""with t as ({texts}) select k, date_text, case when k % 6 = 4 then
         {iso(f"{w.REF_EPOCH} - (k % 72) * 3600")} end as parsed from t"""
     absolute = [("feed", "k % 4 = 0", "e"), ("json_ld", "k % 5 = 0", "e + 60"), ("open_graph", "k % 6 = 0", "e + 120"),

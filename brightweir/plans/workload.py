@@ -47,6 +47,14 @@ class Dialect:
             "naive": ("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"),
             "mail": ("EEE, dd MMM yyyy HH:mm:ss ''GMT''", "%a, %d %b %Y %H:%M:%S GMT"),
             "long": ("MMMM d, yyyy", "%B %-d, %Y"),
+            "weekday": ("EEEE, d MMMM yyyy h:mm a ''EST''", "%A, %-d %B %Y %-I:%M %p EST"),
+            "noon": ("yyyy-MM-dd ha", "%Y-%m-%d %-I%p"),
+            "dotted": ("MM.dd.yyyy", "%m.%d.%Y"),
+            "month_first": ("MMM d yyyy HH:mm", "%b %-d %Y %H:%M"),
+            "slashed": ("M/d/yyyy H:mm:ss", "%-m/%-d/%Y %-H:%M:%S"),
+            "compact": ("yyyyMMdd''T''HHmmss''Z''", "%Y%m%dT%H%M%SZ"),
+            "worded": ("''the'' d ''of'' MMMM yyyy", "the %-d of %B %Y"),
+            "ordinal": ("d''th of'' MMMM, yyyy ''at'' HH:mm ''UTC+2''", "%-dth of %B, %Y at %H:%M UTC+2"),
         }[kind]
         if kind == "offset":
             epoch = f"({epoch}) + 7200"
@@ -112,6 +120,16 @@ def date_texts(d: Dialect) -> str:
         select o_orderkey as k, {d.epoch("o_orderdate")} + o_orderkey % 86400 as e from {{orders}}) t"""
 
 
+# How the general date texts are written, and what they keep of the second they stand for.
+GENERAL_KINDS = ["weekday", "noon", "dotted", "month_first", "slashed", "compact", "worded", "ordinal"]
+
+
+def general_date_texts(d: Dialect) -> str:
+    texts = " ".join(f"when {i} then {d.time_text('e', kind)}" for i, kind in enumerate(GENERAL_KINDS))
+    return f"""select k, e, case k % 10 {texts} when 8 then 'Sep 2026' else '31.02.2026 10:00' end as date_text from (
+        select o_orderkey as k, {d.epoch("o_orderdate")} + o_orderkey % 86400 as e from {{orders}}) t"""
+
+
 def date_candidates(d: Dialect) -> str:
     return f"""select k, e,
         case k % 4 when 0 then {d.time_text("e", "iso")} when 1 then 'junk' end as feed,
@@ -230,7 +248,7 @@ def marked_pages(d: Dialect) -> str:
 
 # Tables each derivation reads.
 _INPUTS = {
-    organisations: ["customer"], addresses: ["pages"], date_texts: ["orders"], date_candidates: ["orders"],
+    organisations: ["customer"], addresses: ["pages"], date_texts: ["orders"], general_date_texts: ["orders"], date_candidates: ["orders"],
     startup_items: ["supplier"], product_items: ["part"], paper_items: ["documents"], repo_stats: ["documents"],
     repo_addresses: ["documents"], news_items: ["pages"], job_items: ["orders", "customer"], attempts: ["events"],
     marked_pages: ["pages"],
