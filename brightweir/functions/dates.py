@@ -216,8 +216,19 @@ def _relative(text: Column, ref: Column) -> Column:
     )
 
 
-def _tagger(name: str) -> Callable[[Column], Column]:
-    return lambda ts: F.when(ts.isNotNull(), F.struct(ts.alias("ts"), F.lit(name).alias("date_source")))
+def _first(candidates: list[tuple[str, Column]], parse: Callable[[Column], Column]) -> Column:
+    """The first text that parses, as ``(ts, date_source)``.
+
+    The texts go through one expression as an array; a parser is large, and
+    building and planning it once per candidate costs seconds.
+    """
+
+    def tagged(parsed: Column) -> Column:
+        found = [F.get(parsed, F.lit(i)) for i in range(len(candidates))]
+        structs = [F.when(ts.isNotNull(), F.struct(ts.alias("ts"), F.lit(name).alias("date_source"))) for ts, (name, _) in zip(found, candidates)]
+        return F.coalesce(*structs) if len(structs) > 1 else structs[0]
+
+    return bind(F.transform(F.array(*[c.cast("string") for _, c in candidates]), parse), tagged)
 
 
 def publication_time(
@@ -240,10 +251,12 @@ def publication_time(
         ("time_tag", time_tag), ("raw", raw),
     ]
     fallback = [("relative", relative), ("relative_raw", raw), ("relative_time_tag", time_tag)]
-    candidates = [(name, parse_absolute(c)) for name, c in absolute if c is not None]
-    candidates += [(name, parse_relative(c, ref)) for name, c in fallback if c is not None]
-    tagged = [bind(ts, _tagger(name)) for name, ts in candidates]
-    return F.coalesce(*tagged) if len(tagged) > 1 else tagged[0]
+    found = []
+    for candidates, parse in ((absolute, parse_absolute), (fallback, lambda c: parse_relative(c, ref))):
+        given = [(name, c) for name, c in candidates if c is not None]
+        if given:
+            found.append(_first(given, parse))
+    return F.coalesce(*found) if len(found) > 1 else found[0]
 
 
 def epoch_or_text(c: Column, ref: Column) -> Column:
