@@ -71,13 +71,13 @@ class WordBpe:
 
     White space separates words and is dropped, so a text has the ids of its
     words.  Texts are split at ASCII white space; what other white space a word
-    may hold is left to the library.  A word of letters with punctuation after
+    may hold is left to the library, and so are the vocabulary's special tokens,
+    whose strings get their ids wherever they stand.  A word of letters with punctuation after
     it has the ids of both.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.parts: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:

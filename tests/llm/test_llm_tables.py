@@ -331,7 +331,6 @@ def test_secrets_are_masked(spark):
 def check_pieces(pieces, docs) -> list[int]:
     """The contract of packing; gives the lengths of the sequences."""
     library = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
-    library.encode_special_tokens = True
     wanted = Counter()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for p in pieces:

@@ -89,10 +89,19 @@ def test_token_columns(spark, reference):
 @given(texts)
 def test_word_bpe_has_the_ids_of_the_library(word_codec, text):
     whole = Tokenizer.from_str(word_codec.tokenizer.to_str())
-    whole.encode_special_tokens = True
     assert next(word_codec.encode(pa.array([text]))).tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+SPECIAL = ["<|endoftext|>", "<|startoftext|>", "<|endoftext|", "|>", "<|ENDOFTEXT|>", "tree", "Tree.", " ", "\n", "é", "..", "\u0301"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(SPECIAL), max_size=8).map("".join))
+def test_special_strings_in_words_are_what_the_library_makes_of_them(word_codec, text):
+    library = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    assert next(word_codec.encode(pa.array([text]))).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_word_bpe_of_a_long_text_and_after_forgetting(word_codec, monkeypatch):
     random.seed(4)
     text = " ".join("".join(random.choices("abcdé.", k=random.randint(1, 9))) for _ in range(5000))
