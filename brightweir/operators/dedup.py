@@ -34,10 +34,15 @@ def first_wins(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 def mark_repeats(df: DataFrame, key: str, order: Sequence[str], flag: str = "is_repeat") -> DataFrame:
     """Every row, with a flag that is false on the earliest row of its key."""
     firsts = df.groupBy(key).agg(F.min(_order(order)).alias("first"))
-    names = [F.col("first").alias(order[0])] if len(order) == 1 else [F.col(f"first.{c}") for c in order]
-    firsts = firsts.select(*names, F.lit(False).alias(flag))
-    marked = df.join(firsts, list(order), "left")
-    return marked.select(*df.columns, F.coalesce(flag, F.lit(True)).alias(flag))
+    values = [F.col("first")] if len(order) == 1 else [F.col(f"first.{c}") for c in order]
+    names = [f"_first_{i}" for i in range(len(order))]
+    firsts = firsts.select(F.col(key).alias("_first_key"), *[v.alias(n) for v, n in zip(values, names)], F.lit(False).alias("_is_first"))
+    # Null order values are no repeats by themselves; the key tells such rows of two keys apart.
+    same = df[key].eqNullSafe(F.col("_first_key"))
+    for column, name in zip(order, names):
+        same = same & df[column].eqNullSafe(F.col(name))
+    marked = df.join(firsts, same, "left")
+    return marked.select(*[df[c] for c in df.columns], F.coalesce("_is_first", F.lit(True)).alias(flag))
 
 
 def new_rows(df: DataFrame, ledger: DataFrame, key: str) -> DataFrame:

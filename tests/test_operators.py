@@ -311,3 +311,11 @@ def test_totals(spark):
 
 def test_sorted_tokens(column_values):
     assert column_values(sorted_tokens, [" b  a c", ""]) == ["a b c", ""]
+
+
+def test_rows_without_an_order_value_are_no_repeats_by_themselves(spark):
+    rows = [("a", None), ("b", None), (None, None), ("c", 2), ("c", 1), ("c", None)]
+    marked = dedup.mark_repeats(spark.createDataFrame(rows, "k string, n int"), "k", ["n"])
+    assert sorted(map(tuple, marked.collect()), key=str) == sorted(
+        [("a", None, False), ("b", None, False), (None, None, False), ("c", 2, True), ("c", 1, False), ("c", None, True)], key=str
+    )
