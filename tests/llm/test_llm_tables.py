@@ -423,6 +423,29 @@ def test_shards_on_given_tables(tables):
     assert max(sums) - min(sums) <= 2 * largest
 
 
+def brute_tree(rows, first, shards):
+    """Shard of each row id: sort the cell in its widest dimension, take the prefix nearest to the bytes wanted."""
+    if shards == 1 or not rows:
+        return {r.row_id: first for r in rows}
+    spans = {d: max(r[d] for r in rows) - min(r[d] for r in rows) for d in sharding.DIMENSIONS}
+    widest = max(sharding.DIMENSIONS, key=spans.get)
+    half = (shards + 1) // 2
+    wanted = sum(r.size for r in rows) * half / shards
+    places = sorted({r[widest] for r in rows})
+    cuts = [(abs(sum(r.size for r in rows if r[widest] < p) - wanted), p) for p in [*places, places[-1] + 1]]
+    cut = min(cuts)[1]
+    low, high = [r for r in rows if r[widest] < cut], [r for r in rows if r[widest] >= cut]
+    return {**brute_tree(low, first, half), **brute_tree(high, first + half, shards - half)}
+
+
+@pytest.mark.parametrize("shards", [5, 16])
+def test_shards_are_those_of_a_sorted_tree(documents, shards):
+    points = sharding.points(documents)
+    leaf = sharding.tree(points, shards).cell().alias("leaf")
+    got = {r.row_id: r.leaf for r in points.select("row_id", leaf).collect()}
+    assert got == brute_tree(points.collect(), 0, shards)
+
+
 def test_shards_are_written(documents, spark, tmp_path):
     sharding.write_shards(documents, str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out"))
