@@ -2,8 +2,10 @@
 
 The tokenizer is put together from a rank file: bytes become characters by the
 byte table, and every pair of tokens whose bytes join to a token may merge, in
-the order of the ranks.  Decoding reverses the byte table; a character may be
-split over tokens, so only whole runs of ids are turned back into text.
+the order of the ranks.  Decoding takes the characters of each id from the
+tokenizer and reverses the byte table; a character may be split over tokens, so
+only whole runs of ids are turned back into text.  The offsets of a token are the
+characters from that of its first byte to that of its last, both included.
 
 Defined results: a null text counts as empty, an empty text has no ids.  Rows
 are independent, so repeated rows and null ids pass through.  Texts of any
@@ -35,7 +37,7 @@ PIECE = 200_000
 # Distinct units a worker remembers before it starts afresh.
 REMEMBERED = 300_000
 
-DIGESTS = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
+DIGESTS = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string,offsets_sha256:string>"
 
 
 def byte_table() -> list[str]:
@@ -78,7 +80,11 @@ class ByteBpe:
     def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN) -> None:
         ranks = read_ranks(path)
         self.tokenizer = build_tokenizer(ranks, pattern)
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
+        byte_of = {character: b for b, character in enumerate(byte_table())}
+        # Every id of the tokenizer, its characters turned back to bytes.
+        self.bytes_of = {i: bytes(map(byte_of.__getitem__, spelled)) for spelled, i in self.tokenizer.get_vocab().items()}
+        self.lengths = np.zeros(max(self.bytes_of, default=0) + 1, np.int64)
+        self.lengths[list(self.bytes_of)] = [len(token) for token in self.bytes_of.values()]
         # Ids of " word" under "word" and of "\nword" under "\nword"; None
         # where the unit holds other white space and cannot stand alone.
         self.known: dict[str, bytes | None] = {}
@@ -138,6 +144,13 @@ class ByteBpe:
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def offsets(self, ids: np.ndarray, decoded: bytes) -> np.ndarray:
+        """Start and end of each of a run of ids, in characters of the text that they decode to."""
+        # A character begins at every byte that does not continue one.
+        character = np.cumsum(np.frombuffer(decoded, np.uint8) & 0xC0 != 0x80, dtype=np.int32)
+        ends = np.cumsum(self.lengths[ids])
+        return np.stack([character[ends - self.lengths[ids]] - 1, character[ends - 1]], axis=1)
+
     def decode(self, ids: Iterable[int]) -> str:
         """The text of a run of ids; bytes that form no character become U+FFFD."""
         return self.decode_bytes(ids).decode("utf-8", "replace")
@@ -189,26 +202,28 @@ def decoded_text(ids: Column, path: str) -> Column:
 
 
 def round_trip_digests(text: Column, path: str) -> Column:
-    """Count and digest of the ids of a text, and the digest of what they decode to."""
+    """Count and digest of the ids of a text, and digests of what they decode to and of their offsets.
+
+    The last is over the start and end of each token, as little-endian unsigned 32-bit integers.
+    """
 
     @F.arrow_udf(DIGESTS)
-    def digests(values: pa.Array) -> pa.Array:
+    def round_trip(values: pa.Array) -> pa.Array:
         codec = loaded(path)
-        counts, ids_sha, decoded_sha = [], [], []
+        counts, digests = [], ([], [], [])
         for ids in codec.encode(texts_of(values)):
             counts.append(len(ids) // ID_BYTES)
-            ids_sha.append(hashlib.sha256(ids).hexdigest())
-            decoded = codec.decode_bytes(np.frombuffer(ids, IDS).tolist())
-            decoded_sha.append(hashlib.sha256(decoded).hexdigest())
-        return pa.StructArray.from_arrays(
-            [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
-            ["n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+            numbers = np.frombuffer(ids, IDS)
+            decoded = codec.decode_bytes(numbers.tolist())
+            for column, data in zip(digests, (ids, decoded, codec.offsets(numbers, decoded).astype(IDS).tobytes())):
+                column.append(hashlib.sha256(data).hexdigest())
+        columns = [pa.array(counts, pa.int64()), *(pa.array(column, pa.string()) for column in digests)]
+        return pa.StructArray.from_arrays(columns, ["n_tokens", "ids_sha256", "decoded_sha256", "offsets_sha256"])
 
-    return digests(text)
+    return round_trip(text)
 
 
 def encoded_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Per document: number of ids, digest of the ids, digest of the decoded bytes."""
+    """Per document: number of ids, digests of the ids, of the decoded bytes and of the offsets."""
     made = docs.select("doc_id", round_trip_digests(F.col("text"), path or public_tokenizers.path(RANKS)).alias("made"))
     return made.select("doc_id", "made.*")

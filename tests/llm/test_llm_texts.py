@@ -1,5 +1,6 @@
 """Tokenizers, language and quality: functions over single texts, and their queries."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -46,6 +47,22 @@ def test_byte_bpe_has_the_ids_of_tiktoken(codec, reference, text):
     ids = ids_of(next(codec.encode([text])), byte_bpe.IDS)
     assert ids == reference.encode_ordinary(text)
     assert codec.decode(ids) == text
+    spans = codec.offsets(np.array(ids, byte_bpe.IDS), text.encode()).tolist()
+    assert spans == [[start, end] for _, start, end in codec.encode_with_offsets(text)]
+
+
+def test_byte_table_gives_the_bytes_of_the_ranks(codec):
+    ranks = byte_bpe.read_ranks(public_tokenizers.path(byte_bpe.RANKS))
+    assert codec.bytes_of == {rank: token for token, rank in ranks.items()}
+
+
+def test_digest_of_offsets(spark, codec):
+    text = "né 漢\U0001f600 tail"
+    rows = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id int, text string")
+    first, second, third = byte_bpe.encoded_documents(rows).orderBy("doc_id").collect()
+    spans = np.array([[a, b] for _, a, b in codec.encode_with_offsets(text)], byte_bpe.IDS)
+    assert first.offsets_sha256 == hashlib.sha256(spans.tobytes()).hexdigest()
+    assert second[1:] == third[1:] and third.offsets_sha256 == hashlib.sha256(b"").hexdigest()
 
 
 @pytest.mark.parametrize("text", ["a" * 300, "=" * 200, " " * 99, "ab" * 99, "\n \n" * 9, ""])
