@@ -20,6 +20,10 @@ _ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 _ISO = r"^\d{4}-\d{2}-\d{2}(?:[Tt ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?\s*(?:[Zz]|[+-]\d{2}:?\d{2})?$"
 _MAIL = r"(?i)^(?:[a-z]{3},?\s+)?\d{1,2}\s+[a-z]{3}\s+\d{4}\s+\d{1,2}:\d{2}(?::\d{2})?(?:\s*(?:[+-]\d{4}|[a-z]{1,3}))?$"
 _MAIL_PARTS = r"(?i)^(?:[a-z]{3},?\s+)?(\d{1,2})\s+([a-z]{3})\s+(\d{4})\s+(\d{1,2}:\d{2})(:\d{2})?\s*([+-]\d{4}|[a-z]*)$"
+# The usual spelling, which a cast reads as it is.
+_ISO_PLAIN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}Z?\z"
+# Text with nothing to strip at either end, as most date texts are.
+_TIGHT = r"^[!-~](?s:.*[!-~])?\z"
 _SHORT_MONTH = r"(?i)^[a-z]{3}\.?\s+\d{1,2},\s*\d{4}$"
 _LONG_MONTH = r"(?i)^[a-z]{4,9}\s+\d{1,2},\s*\d{4}$"
 _DAY_MONTH = r"(?i)^\d{1,2}\s+[a-z]{3}\s+\d{4}$"
@@ -46,28 +50,29 @@ def parse_absolute(c: Column) -> Column:
     Every other text with two numbers or eight digits goes to ``parse_general``.
     Without a zone the text is read as UTC.
     """
-    return bind(strip(c), _absolute)
+    other = bind(F.when(F.rlike(c, F.lit(_TIGHT)), c).otherwise(strip(c)), _absolute)
+    return F.when(F.rlike(c, F.lit(_ISO_PLAIN)), c.try_cast("timestamp")).otherwise(other)
+
+
+def _mail(text: Column) -> Column:
+    """A text of the mail shape as the formatter reads it; its parts are matched once."""
+
+    def joined(p: Column) -> Column:
+        day, month, year, clock, seconds, zone = (F.get(p, F.lit(i)) for i in range(6))
+        timed = F.concat(clock, F.coalesce(F.nullif(seconds, F.lit("")), F.lit(":00")))
+        return F.concat_ws(" ", day, F.initcap(month), year, timed, _zone_offset(zone))
+
+    return bind(F.split(F.regexp_replace(text, _MAIL_PARTS, "$1|$2|$3|$4|$5|$6"), r"\|"), joined)
 
 
 def _absolute(text: Column) -> Column:
     iso = F.regexp_replace(F.upper(text), r"\s*([+-]\d{2}):?(\d{2})$", "$1:$2")
-    mail = F.concat_ws(
-        " ",
-        F.regexp_extract(text, _MAIL_PARTS, 1),
-        F.initcap(F.regexp_extract(text, _MAIL_PARTS, 2)),
-        F.regexp_extract(text, _MAIL_PARTS, 3),
-        F.concat(
-            F.regexp_extract(text, _MAIL_PARTS, 4),
-            F.coalesce(F.nullif(F.regexp_extract(text, _MAIL_PARTS, 5), F.lit("")), F.lit(":00")),
-        ),
-        _zone_offset(F.regexp_extract(text, _MAIL_PARTS, 6)),
-    )
     spaced = F.initcap(F.regexp_replace(text, r"\s+", " "))
     worded = F.regexp_replace(F.replace(spaced, F.lit("."), F.lit("")), r",\s*", ", ")
     return (
         F.when(F.rlike(text, F.lit(_ISO_DATE)), text.try_cast("timestamp"))
         .when(F.rlike(text, F.lit(_ISO)), iso.try_cast("timestamp"))
-        .when(F.rlike(text, F.lit(_MAIL)), F.try_to_timestamp(mail, F.lit("d MMM yyyy H:mm:ss Z")))
+        .when(F.rlike(text, F.lit(_MAIL)), F.try_to_timestamp(_mail(text), F.lit("d MMM yyyy H:mm:ss Z")))
         .when(F.rlike(text, F.lit(_SHORT_MONTH)), F.try_to_timestamp(worded, F.lit("MMM d, yyyy")))
         .when(F.rlike(text, F.lit(_LONG_MONTH)), F.try_to_timestamp(worded, F.lit("MMMM d, yyyy")))
         .when(F.rlike(text, F.lit(_DAY_MONTH)), F.try_to_timestamp(spaced, F.lit("d MMM yyyy")))

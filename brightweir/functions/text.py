@@ -26,7 +26,8 @@ def squeeze(c: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """True for null, empty and white-space-only values."""
-    return F.coalesce(strip(c) == "", F.lit(True))
+    # The search ends at the first other character; stripping looks at both ends against the whole list.
+    return F.coalesce(~F.rlike(c, F.lit("[^" + fixed.WHITESPACE_CLASS[1:])), F.lit(True))
 
 
 def first_filled(*columns: Column) -> Column:

@@ -68,7 +68,8 @@ def dictionary(
 
 def normalized_names(df: DataFrame, name: str) -> DataFrame:
     """Distinct names with how often they occur (``n_rows``) and their normal form."""
-    return key_counts(df, name).withColumn("normal", normal_name(without_accents(strip(F.col(name)))))
+    # As a plain column, a filter on the normal form would be pushed below the grouping, where every row pays for it.
+    return computed_once(key_counts(df, name), normal=normal_name(without_accents(strip(F.col(name)))))
 
 
 def exact_matches(names: DataFrame, known: Dictionary) -> DataFrame:

@@ -242,8 +242,8 @@ def ingest_papers(landed: DataFrame, repo_stats: DataFrame, collected_at: Column
 
 
 def _dated(items: DataFrame, needed: Column, ts: Column, ref: Column) -> DataFrame:
-    # The freshness verdict counts only for rows that passed everything before it.
-    timed = computed_once(items, published_ts=ts)
+    # The freshness verdict counts only for rows that passed everything before it; the others' dates are not read.
+    timed = computed_once(items, published_ts=F.when(F.coalesce("fault", needed).isNull(), ts))
     late = reason_code(F.col("published_ts"), ref, missing=fixed.REASON_UNPARSEABLE)
     return _judge(timed, F.coalesce(needed, late))
 

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brightweir import fixed_values as fixed
+from brightweir.operators.lookup import shuffle_partitions
 from brightweir.sources.registry import sources_of
 
 # Reference times of the queries.
@@ -62,6 +63,12 @@ class Dialect:
             return f"date_format(timestamp_seconds({epoch}), '{spark}')"
         return f"strftime(make_timestamp(cast(({epoch}) as bigint) * 1000000), '{duck}')"
 
+    def twice(self, items: str, share: int) -> str:
+        """Every item, one of ``share`` twice, numbered by ``seq``.  Spark makes both rows in one pass over the items."""
+        if self.spark:
+            return f"select *, explode(if(k % {share} = 0, array(k * 2, k * 2 + 1), array(k * 2))) as seq from {items}"
+        return f"select *, k * 2 as seq from {items} union all select *, k * 2 + 1 as seq from {items} where k % {share} = 0"
+
 
 SPARK, DUCK = Dialect(True), Dialect(False)
 
@@ -196,7 +203,7 @@ def news_items(d: Dialect) -> str:
             cast(floor(page_id / 20) as bigint) as page, regexp_extract(html, '<title>([^<]*)</title>', 1) as title,
             url, html, {REF_EPOCH} - (page_id * 37 % 2400) * 60 + 600 as e from {{pages}}),
         dated as (select k, source, page, title, url, html, e, {text} as published from base)
-        select *, k * 2 as seq from dated union all select *, k * 2 + 1 as seq from dated where k % 5 = 0"""
+        {d.twice("dated", 5)}"""
 
 
 def job_items(d: Dialect) -> str:
@@ -222,7 +229,7 @@ def job_items(d: Dialect) -> str:
             case priority when '1-URGENT' then 'Machine Learning' when '2-HIGH' then 'Big Data' else 'ops' end as tag,
             case when k % 15 < 5 then null when k % 15 < 10 then true else false end as remote
             from base)
-        select *, k * 2 as seq from items union all select *, k * 2 + 1 as seq from items where k % 6 = 0"""
+        {d.twice("items", 6)}"""
 
 
 def attempts(d: Dialect) -> str:
@@ -274,10 +281,14 @@ def duck(derivation) -> str:
     return sql
 
 
+def _listed(item: Column) -> Column:
+    """The texts of a page in order.  A page holds a fixed range of keys, which bounds the group."""
+    # sort_array compares natively; array_sort runs an expression per comparison.  No element is null.
+    return F.sort_array(F.collect_list(F.struct("seq", item.alias("text"))))["text"]
+
+
 def _pages(items: DataFrame, item: Column, before: str, after: str, gap: str = ",") -> DataFrame:
-    # A page holds a fixed range of keys, which bounds the group.
-    listed = F.array_sort(F.collect_list(F.struct("seq", item.alias("text"))))
-    texts = F.array_join(F.transform(listed, lambda i: i["text"]), gap)
+    texts = F.array_join(_listed(item), gap)
     return items.groupBy("source", "page").agg(F.concat(F.lit(before), texts, F.lit(after)).alias("payload"))
 
 
@@ -371,9 +382,10 @@ def landed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(number_plain(text(created_at="published", company_name="company", url="url", tags="tags",
                                      title="title", remote="remote")))
     )
-    # One grouping for all boards; the envelope differs.
-    listed = F.array_sort(F.collect_list(F.struct("seq", item.alias("text"))))
-    pages = tagged.groupBy("source", "page").agg(F.transform(listed, lambda i: i["text"]).alias("texts"))
+    # One grouping for all boards; the envelope differs.  Few bytes but much work for whoever reads
+    # the pages: dealt before the items are made, so that pages are not merged by size into few tasks.
+    tagged = tagged.repartition(shuffle_partitions(tagged), "source", "page")
+    pages = tagged.groupBy("source", "page").agg(_listed(item).alias("texts"))
     commas = F.array_join("texts", ",")
     names = {source.layout: source.name for source in sources_of("jobs")}
     source = F.col("source")

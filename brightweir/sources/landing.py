@@ -44,6 +44,7 @@ class SourceSpec:
     items: str  # path of the item array inside the payload; "" if it is the payload
     fields: Callable[[Column], dict[str, Column]]  # item -> raw columns of the vertical
     skip: int = 0  # leading items that are no records
+    prepare: Callable[[Column], Column] | None = None  # item -> item that ``fields`` gets, read once per item
 
 
 def read_landed(spark: SparkSession, path: str, source: str) -> DataFrame:
@@ -68,6 +69,9 @@ def _raw_items(spec: SourceSpec) -> Column:
     if spec.skip:
         items = F.filter(items, lambda _, i: i >= spec.skip)
 
+    if spec.prepare:
+        items = F.transform(items, spec.prepare)
+
     def raw(item: Column) -> Column:
         fields = spec.fields(item)
         bad_type = fields.pop("bad_type", F.lit(None))

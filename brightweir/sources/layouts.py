@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from brightweir import fixed_values as fixed
-from brightweir.functions.text import first_filled, strip
+from brightweir.functions.text import bind, first_filled, strip
 from brightweir.operators.validate import topical
 from brightweir.sources.landing import SourceSpec
 
@@ -31,9 +31,17 @@ def _models(item: Column) -> dict[str, Column]:
     return {"model_id": first_filled(item["id"], item["_id"])}
 
 
+def _read_paper(item: Column) -> Column:
+    def parts(paper: Column) -> Column:
+        authors = _list(paper["authors"], "struct<name:string>")
+        return F.struct(item["paper"].alias("paper"), item["title"].alias("title"), item["publishedAt"].alias("publishedAt"),
+                        paper.alias("parsed"), authors.alias("authors"))
+
+    return bind(F.from_json(item["paper"], _PAPER), parts)
+
+
 def _papers(item: Column) -> dict[str, Column]:
-    paper = F.from_json(item["paper"], _PAPER)
-    authors = _list(paper["authors"], "struct<name:string>")
+    paper, authors = item["parsed"], item["authors"]
     named = F.filter(authors, lambda a: F.coalesce(a["name"], F.lit("")) != "")
     stars = paper["githubStars"].try_cast("int")
     # Fields that are not known make a record too, as long as there is one.
@@ -114,8 +122,13 @@ def _board_d(item: Column) -> dict[str, Column]:
     return _job(company, strip(item["link"]), strip(item["pubDate"]), company_optional=True)
 
 
+def _read_board_e(item: Column) -> Column:
+    kept = [item[c].alias(c) for c in ("created_at", "company_name", "url", "tags", "title", "remote")]
+    return F.struct(*kept, _list(item["tags"], "string").alias("tag_list"))
+
+
 def _board_e(item: Column) -> dict[str, Column]:
-    tags = _list(item["tags"], "string")
+    tags = item["tag_list"]
     remote = F.when(item["remote"].isin("true", "false"), item["remote"] == "true")
     fields = _job(
         strip(item["company_name"]),
@@ -142,6 +155,7 @@ LAYOUTS = {
         "array<struct<paper:string,title:string,publishedAt:string>>",
         "",
         _papers,
+        prepare=_read_paper,
     ),
     "rss": SourceSpec(
         "news",
@@ -180,5 +194,6 @@ LAYOUTS = {
         "data array<struct<created_at:string,company_name:string,url:string,tags:string,title:string,remote:string>>",
         "data",
         _board_e,
+        prepare=_read_board_e,
     ),
 }
